@@ -1,0 +1,16 @@
+from pyspark.sql import SparkSession
+
+
+def make_session() -> SparkSession:
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .appName("tidemark-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
