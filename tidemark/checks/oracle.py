@@ -65,10 +65,10 @@ def _output(feature: fs.Feature, day: str) -> str:
     forms = {
         fs.ITEMS: "count(DISTINCT idGame)",
         fs.FLAG_COUNT: flagged,
-        fs.FLAG_SHARE: f"round({flagged} / count(DISTINCT idGame), 4)",
+        fs.FLAG_SHARE: f"{flagged} / count(DISTINCT idGame)",
         fs.DAYS_FIRST: f"CAST(max(date_diff('day', CAST(dtRelease AS DATE), {day})) AS INTEGER)",
         fs.DAYS_LAST: f"CAST(min(date_diff('day', CAST(dtRelease AS DATE), {day})) AS INTEGER)",
-        fs.AVG0: f"round(coalesce(avg({feature.arg}), 0), 4)",
+        fs.AVG0: f"coalesce(avg({feature.arg}), 0)",
         fs.SUM0: f"CAST(coalesce(sum({feature.arg}), 0) AS BIGINT)",
     }
     return f'{forms[feature.kind]} AS "{feature.name}"'

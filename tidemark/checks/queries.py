@@ -6,7 +6,7 @@ import dataclasses
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.checks.views import OWN, Sample
 from tidemark.functions.columns import epoch_text
@@ -47,23 +47,14 @@ YEARLY = DateRange("1996-01-01", "2001-12-31", "yearly")
 SPLIT = dt.datetime(2024, 1, 16)
 
 
-def rounded(df: DataFrame, places: int = 4) -> DataFrame:
-    """Averages rounded, since the order of additions is not fixed."""
-    return df.select(
-        *[
-            F.round(f.name, places).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
-
-
 # --- feature sets ---------------------------------------------------------------
 
 
 def _feature_query(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         s, spec = Sample(spark, sf_dir), cat.feature_sets(OWN)[name]
-        return rounded(build_features(s.credits(), s.items(), spec, DATES[spec.months], s.tags(spec.tag)))
+        sort = spec.tag is not None and spec.months is None
+        return build_features(s.credits(), s.items(), spec, DATES[spec.months], s.tags(spec.tag), sort)
 
     return query
 
@@ -72,13 +63,13 @@ def _theme_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Sample(spark, sf_dir)
     spec = cat.feature_sets(OWN)["company_themes"]
     spec = dataclasses.replace(spec, features=cat.theme_features(count_untagged=True))
-    return rounded(build_features(s.credits(), s.items(), spec, DATES[None], s.tags(spec.tag)))
+    return build_features(s.credits(), s.items(), spec, DATES[None], s.tags(spec.tag))
 
 
 def _backfill_query(name: str, dates: DateRange) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         s, spec = Sample(spark, sf_dir), cat.feature_sets(OWN)[name]
-        return rounded(backfill_features(s.credits(), s.items(), spec, dates, s.tags(spec.tag)))
+        return backfill_features(s.credits(), s.items(), spec, dates, s.tags(spec.tag))
 
     return query
 
@@ -295,7 +286,7 @@ def _backfill_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     for dates in (MONTHLY, DateRange("1999-01-01", "1999-04-01", "monthly")):  # the second run overlaps
         features = backfill_features(s.credits(), s.items(), spec, dates)
         write_backfill(features, path, dates)
-    return rounded(read_table(spark, path, features.schema))
+    return read_table(spark, path, features.schema)
 
 
 def _spine(spark: SparkSession, sf_dir: str) -> DataFrame:

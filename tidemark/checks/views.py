@@ -7,11 +7,12 @@ same derivations for the check.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.plans.catalogue import GENRE_SLUGS, THEME_NAMES
 
 OWN = "Own"
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 class Sample:
@@ -20,7 +21,10 @@ class Sample:
         self.dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        path = f"{self.dir}/{name}.parquet"
+        if path not in _SCHEMAS:  # reading a schema off the files costs a job, once is enough
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # --- credit rows, items, tags -------------------------------------------
 

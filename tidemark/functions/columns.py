@@ -45,19 +45,17 @@ def pack_flags(predicates: Sequence[str]) -> list[Column]:
 
     A NULL predicate counts as false. ``bit_or`` of the words is the OR of the
     flags, so any number of conditional distinct counts needs one buffer per word.
+    Each word is parsed from one text: building it call by call is much slower.
     """
     words = []
     for start in range(0, len(predicates), FLAGS_PER_WORD):
-        word = F.lit(0).cast("long")
-        for bit, predicate in enumerate(predicates[start : start + FLAGS_PER_WORD]):
-            word = word.bitwiseOR(
-                F.when(F.expr(predicate), F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long"))
-            )
-        words.append(word)
+        chunk = predicates[start : start + FLAGS_PER_WORD]
+        bits = [f"CASE WHEN {p} THEN {1 << bit}L ELSE 0L END" for bit, p in enumerate(chunk)]
+        words.append(F.expr(" | ".join(bits)))
     return words
 
 
-def unpack_flag(words: Sequence[str], index: int) -> Column:
-    """0/1 value of flag ``index`` from the packed word columns."""
+def unpack_flag(prefix: str, index: int) -> str:
+    """SQL text for the 0/1 value of flag ``index``, from columns ``<prefix>0``, ``<prefix>1``, ..."""
     word, bit = divmod(index, FLAGS_PER_WORD)
-    return F.shiftright(F.col(words[word]), bit).bitwiseAND(F.lit(1).cast("long"))
+    return f"(shiftright({prefix}{word}, {bit}) & 1L)"

@@ -5,7 +5,8 @@ Every set is computed in the same three steps:
 1. credit rows -> one row per (entity, item): row count and OR-ed flags, so
    distinct counts become plain sums and need no ``Expand``;
 2. join with the item side, which carries the release day, the measures and,
-   for tag sets, the flags of all the item's tags folded into one row;
+   for tag sets, the flags of all the item's tags: tags are folded per item
+   before any entity is involved, so they never multiply the credit rows;
 3. sum per entity. A backfill sums per (entity, first date, last date) first
    and only then spreads those few sums over the dates they count for.
 """
@@ -46,35 +47,52 @@ def attach_items(facts: DataFrame, items: DataFrame, item: str, spread: str) ->
     return salted_join(facts, items, item, [spread], heavy_keys(facts, item))
 
 
-def item_tag_flags(bridge: DataFrame, dim: DataFrame, item: str, tag: str, predicates: list[str]) -> DataFrame:
-    """One row per item: the OR of the predicates over all the item's tags.
+def _fill_untagged(df: DataFrame, dim: DataFrame, predicates: list[str]) -> DataFrame:
+    """Give rows without flag words those of a tag whose columns are all NULL."""
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in dim.schema.fields if f.name not in df.columns}
+    words = {name: F.coalesce(F.col(name), word) for name, word in _words(predicates).items()}
+    return df.withColumns(absent).withColumns(words).drop(*absent)
+
 
-    Folding per item before any entity is involved means tags never multiply
-    the credit rows. The fold has a map-side part, so a hot item or tag shrinks
-    before the shuffle.
+def tag_rows(bridge: DataFrame, dim: DataFrame, item: str, tag: str, predicates: list[str]) -> DataFrame:
+    """The bridge with the packed flags of each row's tag.
+
+    The predicates are tested once per row of the dimension, so the bridge joins
+    a number, not the dimension's texts. A tag the dimension lacks is a NULL tag.
     """
     words = _words(predicates)
-    return (
-        bridge.where(F.col(item).isNotNull())
-        .join(dim, tag, "left")
-        .select(item, *[w.alias(name) for name, w in words.items()])
-        .groupBy(item)
-        .agg(*[F.bit_or(name).alias(name) for name in words])
-    )
+    flags = dim.select(tag, *[w.alias(name) for name, w in words.items()])
+    tagged = bridge.where(F.col(item).isNotNull()).select(item, tag).join(flags, tag, "left").drop(tag)
+    return _fill_untagged(tagged, dim, predicates)
 
 
 def attach_tags(
     items: DataFrame, bridge: DataFrame, dim: DataFrame, item: str, tag: str, predicates: list[str]
 ) -> DataFrame:
-    """``items`` plus the packed tag flags; an item without tags counts as one NULL tag."""
-    flags = item_tag_flags(bridge, dim, item, tag, predicates)
-    untagged = {f.name: F.lit(None).cast(f.dataType) for f in dim.schema.fields if f.name not in items.columns}
-    taken = [f.name for f in dim.schema.fields if f.name in items.columns]
-    if taken:
-        raise ValueError(f"items and tag dimension share columns {taken}")
-    joined = items.join(flags, item, "left").withColumns(untagged)
-    words = {name: F.coalesce(F.col(name), word) for name, word in _words(predicates).items()}
-    return joined.withColumns(words).drop(*untagged)
+    """``items`` plus the packed tag flags; an item without tags counts as one NULL tag.
+
+    Items and tagged rows are stacked and folded per item: one shuffle with a
+    map-side part does the work of an aggregation, two sorts and an outer join.
+    """
+    shared = (set(dim.columns) - {tag}) & set(items.columns)
+    if shared:
+        raise ValueError(f"items and tag dimension share columns {sorted(shared)}")
+    words = list(_words(predicates))
+    carried = [c for c in items.columns if c != item]
+    tagged = tag_rows(bridge, dim, item, tag, predicates)
+    folded = (
+        items.withColumn("_item", F.lit(True))
+        .unionByName(tagged, allowMissingColumns=True)
+        .groupBy(item)
+        .agg(
+            F.bool_or("_item").alias("_item"),
+            *[F.max(name).alias(name) for name in carried],
+            *[F.bit_or(name).alias(name) for name in words],
+        )
+        .where("_item")
+        .drop("_item")
+    )
+    return _fill_untagged(folded, dim, predicates)
 
 
 def flag_counts(facts: DataFrame, entity: str, item: str, flags: dict[str, str]) -> DataFrame:
@@ -95,59 +113,58 @@ def _flag_totals(facts: DataFrame, entity: str, item: str, flags: dict[str, str]
         facts.select(entity, item, *[w.alias(name) for name, w in words.items()])
         .groupBy(entity, item)
         .agg(*[F.bit_or(name).alias(name) for name in words])
+        .withColumn("_known", F.col(item).isNotNull())
     )
-    known = F.col(item).isNotNull()
     sums = per_item.groupBy(entity).agg(
-        F.count(item).alias("_items"),
+        F.count_if("_known").alias("_items"),
         *[
-            F.coalesce(F.sum(F.when(known, unpack_flag(list(words), i))), F.lit(0)).alias(f"_f{i}")
+            F.expr(f"coalesce(sum({unpack_flag('_w', i)}) FILTER (WHERE _known), 0L) AS _f{i}")
             for i in range(len(predicates))
         ],
     )
-    total = {name: F.col(f"_f{predicates.index(p)}") for name, p in flags.items()}
-    if share:
-        total = {name: F.try_divide(c, F.col("_items")) for name, c in total.items()}
-    return sums.select(entity, *[c.alias(name) for name, c in total.items()])
-
-
-def _partials(spec: FeatureSpec) -> dict[str, tuple[Column, object]]:
-    """Additive parts per (entity, item) row, each with the function that merges it."""
-    parts: dict[str, tuple[Column, object]] = {
-        "_items": (F.count(F.lit(1)), F.sum),
-        "_first": (F.min("_day"), F.min),
-        "_last": (F.max("_day"), F.max),
+    form = "try_divide({}, _items)" if share else "{}"
+    return sums.select(
+        entity, *[F.expr(form.format(f"_f{predicates.index(p)}")).alias(name) for name, p in flags.items()]
+    )
+
+
+def _partials(spec: FeatureSpec) -> dict[str, tuple[str, str]]:
+    """Additive parts per (entity, item) row: SQL to make each, function to merge it."""
+    parts = {
+        "_items": ("count(1)", "sum"),
+        "_first": ("min(_day)", "min"),
+        "_last": ("max(_day)", "max"),
     }
-    names = [f"_w{i}" for i in range(len(pack_flags(spec.predicates)))]
     for i in range(len(spec.predicates)):
-        parts[f"_f{i}"] = (F.sum(unpack_flag(names, i)), F.sum)
-    for i, _ in enumerate(spec.measures):
+        parts[f"_f{i}"] = (f"sum({unpack_flag('_w', i)})", "sum")
+    for i in range(len(spec.measures)):
         # Averages and sums run over credit rows: weight each item by its rows.
-        value = F.col(f"_m{i}")
-        parts[f"_s{i}"] = (F.sum(value * F.col("_n")), F.sum)
-        parts[f"_c{i}"] = (F.sum(F.when(value.isNotNull(), F.col("_n"))), F.sum)
+        parts[f"_s{i}"] = (f"sum(_m{i} * _n)", "sum")
+        parts[f"_c{i}"] = (f"sum(_n) FILTER (WHERE _m{i} IS NOT NULL)", "sum")
     return parts
 
 
-def _outputs(spec: FeatureSpec, day: Column) -> list[Column]:
+def _outputs(spec: FeatureSpec, day: str) -> list[Column]:
+    """The output columns from the merged parts; ``day`` is SQL for the reference date."""
+    flags, measures = spec.predicates, spec.measures
     out = []
     for feature in spec.features:
         if feature.kind == fs.ITEMS:
-            col = F.col("_items")
+            sql = "_items"
         elif feature.kind == fs.FLAG_COUNT:
-            col = F.col(f"_f{spec.predicates.index(feature.arg)}")
+            sql = f"_f{flags.index(feature.arg)}"
         elif feature.kind == fs.FLAG_SHARE:
-            col = F.col(f"_f{spec.predicates.index(feature.arg)}") / F.col("_items")
+            sql = f"_f{flags.index(feature.arg)} / _items"
         elif feature.kind == fs.DAYS_FIRST:
-            col = F.datediff(day, F.col("_first"))
+            sql = f"datediff({day}, _first)"
         elif feature.kind == fs.DAYS_LAST:
-            col = F.datediff(day, F.col("_last"))
+            sql = f"datediff({day}, _last)"
+        elif feature.kind == fs.AVG0:
+            i = measures.index(feature.arg)
+            sql = f"coalesce(try_divide(_s{i}, _c{i}), 0D)"
         else:
-            i = spec.measures.index(feature.arg)
-            if feature.kind == fs.AVG0:
-                col = F.coalesce(F.try_divide(F.col(f"_s{i}"), F.col(f"_c{i}")), F.lit(0.0))
-            else:
-                col = F.coalesce(F.col(f"_s{i}"), F.lit(0))
-        out.append(col.alias(feature.name))
+            sql = f"coalesce(_s{measures.index(feature.arg)}, 0L)"
+        out.append(F.expr(sql).alias(feature.name))
     return out
 
 
@@ -179,20 +196,22 @@ def build_features(
     spec: FeatureSpec,
     date: str,
     tags: tuple[DataFrame, DataFrame] | None = None,
+    sort: bool = False,
 ) -> DataFrame:
     """The feature set as of ``date``: one row per entity with an item in the window.
 
-    ``items`` must be unique per item; ``tags`` is (bridge, dimension).
+    ``items`` must be unique per item; ``tags`` is (bridge, dimension). ``sort``
+    orders the result by entity.
     """
     side = _item_side(trailing(items, spec.release, date, spec.months), spec, tags, {})
     parts = _partials(spec)
     sums = _credited(facts, side, spec).groupBy(spec.entity).agg(
-        *[make.alias(name) for name, (make, _) in parts.items()]
+        *[F.expr(make).alias(name) for name, (make, _) in parts.items()]
     )
     out = sums.select(
-        spec.entity, F.lit(date).alias(spec.ref), *_outputs(spec, F.lit(date).cast("date"))
+        spec.entity, F.lit(date).alias(spec.ref), *_outputs(spec, f"DATE '{date}'")
     )
-    return out.orderBy(spec.entity) if spec.sort else out
+    return out.orderBy(spec.entity) if sort else out
 
 
 def backfill_features(
@@ -221,15 +240,15 @@ def backfill_features(
     side = _item_side(released, spec, tags, run).where(F.col("_from") <= F.col("_to"))
     parts = _partials(spec)
     runs = _credited(facts, side, spec).groupBy(spec.entity, "_from", "_to").agg(
-        *[make.alias(name) for name, (make, _) in parts.items()]
+        *[F.expr(make).alias(name) for name, (make, _) in parts.items()]
     )
     per_date = (
         runs.withColumn("_date", F.explode(dates.between(F.col("_from"), F.col("_to"))))
         .groupBy(spec.entity, "_date")
-        .agg(*[merge(name).alias(name) for name, (_, merge) in parts.items()])
+        .agg(*[F.expr(f"{merge}({name})").alias(name) for name, (_, merge) in parts.items()])
     )
     return per_date.select(
         spec.entity,
         F.date_format("_date", "yyyy-MM-dd").alias(spec.ref),
-        *_outputs(spec, F.col("_date")),
+        *_outputs(spec, "_date"),
     )

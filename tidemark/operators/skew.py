@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # A key is heavy if it holds at least 1/HEAVY_ONE_IN of the rows, so there are
 # at most HEAVY_ONE_IN heavy keys. The sketch tracks enough items (error about
-# 3.5/SKETCH_ITEMS of the rows) not to miss one.
+# 3.5/SKETCH_ITEMS of the rows) not to miss one. SALTS is a power of two.
 HEAVY_ONE_IN = 1024
 SKETCH_ITEMS = 8192
 SALTS = 256
@@ -41,8 +41,10 @@ def salted_join(
     most ``HEAVY_ONE_IN * salts`` extra rows. All other keys use sub-key 0.
     """
     hot = F.array_contains(heavy, F.col(key))
-    salt = F.when(hot, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    # Never NULL, so no IS NOT NULL on it is pushed below an aggregate, where it
+    # would make the scan wait for the sketch.
+    salt = F.when(hot, F.xxhash64(*spread).bitwiseAND(F.lit(salts - 1))).otherwise(F.lit(0))
     copies = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    left = many.where(F.col(key).isNotNull()).withColumn("_salt", salt)
+    left = many.where(F.col(key).isNotNull()).withColumn("_salt", salt.cast("int"))
     right = one.where(F.col(key).isNotNull()).withColumn("_salt", F.explode(copies))
     return left.join(right, [key, "_salt"]).drop("_salt")

@@ -417,8 +417,8 @@ def feature_sets(own: str) -> dict[str, FeatureSpec]:
     genre = (*tag_flags("descSlug", GENRE_SLUGS), Feature(GENRE_NULL, FLAG_SHARE, "descSlug IS NULL"))
     bases = [
         FeatureSpec("company_general", features=general_features(own), **key),
-        FeatureSpec("company_genre", features=genre, tag="idGenre", sort=True, **key),
-        FeatureSpec("company_platform", features=platform_features(), tag="idPlatform", sort=True, **key),
+        FeatureSpec("company_genre", features=genre, tag="idGenre", **key),
+        FeatureSpec("company_platform", features=platform_features(), tag="idPlatform", **key),
         FeatureSpec("company_themes", features=theme_features(), tag="idTheme", **key),
     ]
     sets = {}

@@ -46,7 +46,6 @@ class FeatureSpec:
     tag: str | None = None
     months: int | None = None
     ref: str = "dtRef"
-    sort: bool = False
 
     @property
     def predicates(self) -> list[str]:
