@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T, Window as
 
 # Time is cut into 2**SLICE_BITS slices of about equal row count.
 SLICE_BITS = 10
-QUANTILE_ACCURACY = 20_000
+QUANTILE_ACCURACY = 4 << SLICE_BITS
 
 
 def spine(ids: DataFrame, dates: Column, name: str = "event_timestamp") -> DataFrame:
@@ -22,16 +22,35 @@ def _common_time(spine_type: T.DataType, ref_type: T.DataType) -> str:
     return "timestamp" if any(isinstance(k, T.TimestampType) for k in kinds) else "timestamp_ntz"
 
 
-def _with_slice(df: DataFrame, edges: Column, bits: int) -> DataFrame:
-    """Add ``_slice``: how many of the ``2**bits - 1`` sorted edges are <= ``_t``.
+def _count_edges(test: str, name: str, bits: int) -> tuple[list[str], str]:
+    """SQL aliases that count the leading ``_edges`` with ``edge <test> _t``: a binary search."""
+    steps, found = [], "0"
+    for bit in reversed(range(bits)):
+        edge = f"get(_edges, {found} + {(1 << bit) - 1})"
+        steps.append(f"{found} + if({edge} {test} _t, {1 << bit}, 0) AS {name}{bit}")
+        found = f"{name}{bit}"
+    return steps, found
+
+
+def _with_slice(df: DataFrame, bits: int) -> DataFrame:
+    """Add ``_slice``, which grows with ``_t`` and holds about ``1/2**bits`` of the rows.
 
-    A binary search, one projection per step; they all run in one generated loop.
+    Slices end at time quantiles, found in one pass by a mergeable sketch (a
+    scalar subquery). An instant so frequent that several quantiles fall on it
+    owns several slices: rows looking something up are hashed over them, feature
+    rows take the first, where the rest inherit them. Rows without id or time
+    match nothing and are parked, by hash, in slices below all others.
     """
-    df = df.withColumn("_slice", F.lit(0))
-    for bit in reversed(range(bits)):
-        passed = F.get(edges, F.col("_slice") + F.lit((1 << bit) - 1)) <= F.col("_t")
-        df = df.withColumn("_slice", F.col("_slice") + F.when(passed, F.lit(1 << bit)).otherwise(F.lit(0)))
-    return df
+    count = 1 << bits
+    cuts = ", ".join(f"{i / count!r}D" for i in range(1, count)) or "0.5D"
+    edges = df.agg(F.expr(f"percentile_approx(_t, array({cuts}), {QUANTILE_ACCURACY})")).scalar()
+    below, low = _count_edges("<", "_l", bits)
+    upto, high = _count_edges("<=", "_h", bits)
+    spread = f"{low} + if({high} > {low}, 1 + if(_side = 1, pmod(xxhash64(_row), {high} - {low}), 0), 0)"
+    parked = f"-1 - (xxhash64(_row) & {count - 1})"
+    return df.withColumn("_edges", edges).selectExpr("*", *below, *upto).selectExpr(
+        *df.columns, f"int(if(_id IS NULL OR _t IS NULL, {parked}, {spread})) AS _slice"
+    )
 
 
 def asof_join(
@@ -66,9 +85,6 @@ def asof_join(
     right = feats.select(
         F.col(id).alias("_id"), F.col(ref).cast(kind).alias("_t"), F.struct(*payload).alias("_feat")
     ).where(F.col("_id").isNotNull() & F.col("_t").isNotNull())
-    matchable = F.col("_id").isNotNull() & F.col("_t").isNotNull()
-    unmatchable = left.where(~matchable).select("_row", F.lit(None).cast(right.schema["_feat"].dataType).alias("_feat"))
-    left = left.where(matchable)
 
     # Equal times of one id: keep the feature row that the tie columns choose.
     if tie:
@@ -79,10 +95,7 @@ def asof_join(
         right.withColumn("_side", F.lit(0)), allowMissingColumns=True
     )
 
-    count = 1 << slice_bits
-    cuts = [i / count for i in range(1, count)] or [0.5]
-    edges = both.agg(F.percentile_approx("_t", cuts, QUANTILE_ACCURACY)).scalar()
-    both = _with_slice(both, edges, slice_bits)
+    both = _with_slice(both, slice_bits)
 
     # What each (id, slice) inherits: the last feature row of the slices before.
     summary = both.groupBy("_id", "_slice").agg(
@@ -105,7 +118,6 @@ def asof_join(
         .withColumn("_feat", F.last("_feat", ignorenulls=True).over(within))
         .where(F.col("_side") == 1)
         .select("_row", "_feat")
-        .unionByName(unmatchable)
     )
     feat = F.col("_feat")
     if max_age is not None:
