@@ -1,0 +1,74 @@
+from pyspark.sql import functions as F
+
+from tidemark.operators.dedup import latest_per_key, profile_key, split_null_keys
+from tidemark.operators.upsert import upsert
+import pytest
+
+
+def test_latest_per_key(spark, rows):
+    df = spark.createDataFrame(
+        [(1, 5, "a"), (1, 9, "b"), (2, None, "c"), (2, 1, "d"), (3, None, "e"), (4, 7, "f"), (4, 7, "g")],
+        "id long, ts long, v string")
+    assert rows(latest_per_key(df, ["id"], "ts", tie=["v"])) == [(1, 9, "b"), (2, 1, "d"), (3, None, "e"), (4, 7, "g")]
+
+
+def test_latest_per_key_keeps_columns_and_composite_keys(spark, rows):
+    df = spark.createDataFrame([(1, "x", 1, 10), (1, "x", 2, 20), (1, "y", 1, 30)], "v long, k string, ts long, id long")
+    assert rows(latest_per_key(df, ["k", "v"], "ts")) == [(1, "x", 2, 20), (1, "y", 1, 30)]
+
+
+def test_latest_per_key_combines_before_the_shuffle(spark):
+    plan = latest_per_key(spark.range(10).selectExpr("id % 2 AS k", "id AS ts"), ["k"], "ts")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.index("partial_max_by") > text.index("Exchange hashpartitioning")
+
+
+def test_profile_key(spark):
+    df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 1), (None, 1), (None, None)], "a long, b long")
+    assert tuple(profile_key(df, ["a"]).first()) == (6, 3, 1)
+    assert tuple(profile_key(df, ["a", "b"]).first()) == (6, 3, 2)
+    assert tuple(profile_key(df.where("false"), ["a"]).first()) == (0, 0, 0)
+
+
+def test_split_null_keys(spark):
+    df = spark.createDataFrame([(1, 1), (None, 1), (1, None)], "a long, b long")
+    keyed, loose = split_null_keys(df, ["a", "b"])
+    assert (keyed.count(), loose.count()) == (1, 2)
+
+
+T = "id long, ts long, v string"
+
+
+def test_upsert_modes(spark, rows):
+    held = spark.createDataFrame([(1, 9, "held"), (2, 1, "held"), (4, None, "held")], T)
+    late = spark.createDataFrame([(1, 3, "late"), (2, 5, "late"), (3, 1, "late"), (4, 2, "late")], T)
+    assert rows(upsert(held, late, ["id"])) == [(1, 3, "late"), (2, 5, "late"), (3, 1, "late"), (4, 2, "late")]
+    newest = upsert(held, late, ["id"], mode="newest", ts="ts")
+    assert rows(newest) == [(1, 9, "held"), (2, 5, "late"), (3, 1, "late"), (4, 2, "late")]
+
+
+def test_upsert_twice_is_once_and_extra_columns_go(spark, rows):
+    held = spark.createDataFrame([(1, 9, "held")], T)
+    batch = spark.createDataFrame([(1, 3, "late"), (2, 5, "late")], T).withColumn("ingestion_at", F.current_timestamp())
+    once = upsert(held, batch, ["id"])
+    assert rows(upsert(once, batch, ["id"])) == rows(once) and once.columns == ["id", "ts", "v"]
+
+
+def test_upsert_composite_key(spark, rows):
+    a = spark.createDataFrame([(1, 1, "t"), (1, 2, "t")], "k1 long, k2 long, v string")
+    b = spark.createDataFrame([(1, 2, "s"), (2, 1, "s")], "k1 long, k2 long, v string")
+    assert rows(upsert(a, b, ["k1", "k2"])) == [(1, 1, "t"), (1, 2, "s"), (2, 1, "s")]
+
+
+def test_upsert_null_keys(spark, rows):
+    a = spark.createDataFrame([(None, 1, "t"), (1, 1, "t")], T)
+    b = spark.createDataFrame([(None, 2, "s")], T)
+    assert rows(upsert(a, b, ["id"])) == [(None, 1, "t"), (1, 1, "t")]
+    assert rows(upsert(a, b, ["id"], null_keys="append")) == [(None, 1, "t"), (None, 2, "s"), (1, 1, "t")]
+
+
+def test_upsert_bad_arguments(spark):
+    a = spark.createDataFrame([], T)
+    for kwargs in ({"mode": "other"}, {"null_keys": "other"}, {"mode": "newest"}):
+        with pytest.raises(ValueError):
+            upsert(a, a, ["id"], **kwargs)

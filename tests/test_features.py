@@ -1,0 +1,256 @@
+import dataclasses
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions.dates import DateRange
+from tidemark.operators.features import (
+    attach_items,
+    backfill_features,
+    build_features,
+    flag_counts,
+    flag_shares,
+)
+from tidemark.plans import catalogue as cat
+from tidemark.plans.feature_spec import FLAG_SHARE, Feature, FeatureSpec, tag_flags
+
+OWN = "Own"
+SETS = cat.feature_sets(OWN)
+CREDIT = "idCompany long, idGame long, flDeveloper boolean, flPorting boolean, flPublisher boolean, flSupporting boolean"
+GAME = (
+    "idGame long, dtRelease string, vlRatingExternal double, qtdeRatingExternal long, vlRatingOwn double, "
+    "qtdeRatingOwn long, vlRatingTotal double, qtdeRatingTotal long"
+)
+
+
+@pytest.fixture(scope="module")
+def credits(spark):
+    return spark.createDataFrame(
+        [
+            (1, 10, True, False, True, None),
+            (1, 10, False, True, True, None),  # credited twice
+            (1, 11, True, False, False, False),
+            (2, 12, True, True, True, True),  # only a future game
+            (3, 13, True, True, True, True),  # no release date
+            (4, 99, True, True, True, True),  # unknown game
+            (5, None, True, True, True, True),
+            (None, 11, False, False, False, True),
+        ],
+        CREDIT,
+    )
+
+
+@pytest.fixture(scope="module")
+def games(spark):
+    return spark.createDataFrame(
+        [
+            (10, "2020-01-10 12:00:00", 50.0, 4, None, None, 10.0, 1),
+            (11, "2021-11-30 23:00:00", 80.0, 1, None, None, None, 2),
+            (12, "2021-12-01 00:00:00", 1.0, 1, 1.0, 1, 1.0, 1),
+            (13, None, 1.0, 1, 1.0, 1, 1.0, 1),
+        ],
+        GAME,
+    )
+
+
+def test_general(credits, games):
+    got = {r.idCompany: r for r in build_features(credits, games, SETS["company_general"], "2021-12-01").collect()}
+    assert set(got) == {1, None}
+    one = got[1]
+    assert one.dtRef == "2021-12-01"
+    assert (one.qtdeGamesInvolved, one.qtdeGamesDeveloper, one.qtdeGamesPorting) == (2, 2, 1)
+    assert (one.qtdeGamesPublisher, one.qtdeGamesSupporting) == (1, 0)
+    assert (one.qtdeDaysFirstRelease, one.qtdeDaysLastRelease) == (691, 1)
+    # Game 10 is credited twice and weighs twice.
+    assert (one.avgRatingExternal, one.avgVotesRatingExternal, one.TotalVotesRatingExternal) == (60.0, 3.0, 9)
+    assert (one.avgRatingOwn, one.avgVotesRatingOwn, one.TotalVotesRatingOwn) == (0.0, 0.0, 0)
+    assert (one.avgRatingTotal, one.TotalVotesRatingTotal) == (10.0, 4)
+
+
+def test_output_types_and_names(credits, games):
+    df = build_features(credits, games, SETS["company_general_05_years"], "2021-12-01")
+    kinds = dict(df.dtypes)
+    assert list(kinds)[:3] == ["idCompany", "dtRef", "qtdeGamesInvolved05Years"]
+    assert kinds["dtRef"] == "string" and kinds["qtdeGamesInvolved05Years"] == "bigint"
+    assert kinds["qtdeDaysFirstRelease05Years"] == "int" and kinds["avgRatingOwn05Years"] == "double"
+    assert kinds["TotalVotesRatingTotal05Years"] == "bigint" and len(kinds) == 18
+
+
+def test_one_year_window(credits, games):
+    got = {r.idCompany: r for r in build_features(credits, games, SETS["company_general_01_years"], "2021-12-01").collect()}
+    assert got[1].qtdeGamesInvolved01Years == 1 and got[1].qtdeDaysFirstRelease01Years == 1
+
+
+def _naive(facts, items, spec, date, tags):
+    """The definition: join everything, count distinct."""
+    df = facts.join(items, spec.item).where(F.to_date(spec.release) < F.lit(date).cast("date"))
+    if spec.months:
+        df = df.where(F.to_date(spec.release) >= F.add_months(F.lit(date).cast("date"), -spec.months))
+    if tags:
+        bridge, dim = tags
+        df = df.join(bridge, spec.item, "left").join(dim, spec.tag, "left")
+    total = F.countDistinct(spec.item)
+    outs = []
+    for f in spec.features:
+        flag = F.countDistinct(F.when(F.expr(f.arg), F.col(spec.item))) if f.kind.startswith("flag") else None
+        outs.append(
+            {
+                "items": lambda: total,
+                "flag_count": lambda: flag,
+                "flag_share": lambda: flag / total,
+                "days_first": lambda: F.max(F.datediff(F.lit(date), F.to_date(spec.release))),
+                "days_last": lambda: F.min(F.datediff(F.lit(date), F.to_date(spec.release))),
+                "avg0": lambda: F.coalesce(F.avg(f.arg), F.lit(0.0)),
+                "sum0": lambda: F.coalesce(F.sum(f.arg), F.lit(0)),
+            }[f.kind]().alias(f.name)
+        )
+    return df.groupBy(spec.entity, F.lit(date).alias(spec.ref)).agg(*outs)
+
+
+@pytest.fixture(scope="module")
+def world(spark):
+    """Some hundred credits; company 1 and game 7 hold about a third each."""
+    n = spark.range(900)
+    facts = n.select(
+        F.expr("if(id % 3 = 0, 1, id % 17)").alias("idCompany"),
+        F.expr("if(id % 3 = 1, 7, id % 61)").alias("idGame"),
+        (F.col("id") % 2 == 0).alias("flDeveloper"),
+        (F.col("id") % 5 == 0).alias("flPorting"),
+        F.expr("if(id % 7 = 0, null, id % 7 = 1)").alias("flPublisher"),
+        (F.col("id") % 11 == 0).alias("flSupporting"),
+    )
+    games = spark.range(55).select(
+        F.col("id").alias("idGame"),
+        F.expr("date_add(date '2019-12-30', cast(id * 13 AS int))").cast("timestamp").alias("dtRelease"),
+        *[F.expr(f"if(id % {k} = 0, null, double(id * {k}))").alias(f"vlRating{l}") for k, l in ((3, "External"), (4, OWN), (5, "Total"))],
+        *[F.expr(f"if(id % {k} = 0, null, id * {k})").alias(f"qtdeRating{l}") for k, l in ((3, "External"), (4, OWN), (5, "Total"))],
+    )
+    bridge = spark.range(150).select(F.expr("id % 50").alias("idGame"), F.expr("id * 7 % 26").alias("tag"))
+    return facts, games, bridge
+
+
+def _tags(spark, world, tag):
+    bridge = world[2].withColumnRenamed("tag", tag)
+    if tag == "idGenre":
+        rows = [(i, s) for i, s in enumerate(cat.GENRE_SLUGS.values())] + [(23, None)]
+        return bridge, spark.createDataFrame(rows, "idGenre long, descSlug string")
+    if tag == "idTheme":
+        return bridge, spark.createDataFrame(list(enumerate(cat.THEME_NAMES.values())), "idTheme long, descName string")
+    kinds = ["operating_system", *cat.PLATFORM_KINDS.values()]
+    names = [*cat.MOBILE_SYSTEMS, None, "Linux", "Mac"]
+    rows = [(i, names[i % len(names)], kinds[i % len(kinds)] if i % 4 else "operating_system") for i in range(24)]
+    return bridge, spark.createDataFrame(rows, "idPlatform long, descName string, descCategory string")
+
+
+def _same(a, b):
+    def rounded(df):
+        return df.select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+    a, b = rounded(a), rounded(b.select(*a.columns))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("name", ["company_general", "company_general_01_years", "company_genre", "company_platform_01_years", "company_themes"])
+def test_sets_match_their_definition(spark, world, name):
+    facts, games, _ = world
+    spec = SETS[name]
+    tags = _tags(spark, world, spec.tag) if spec.tag else None
+    got = build_features(facts, games, spec, "2021-06-15", tags, sort=True)
+    assert got.count() > 10
+    _same(got, _naive(facts, games, spec, "2021-06-15", tags))
+
+
+@pytest.mark.parametrize(
+    "name, dates",
+    [
+        ("company_general", DateRange("2020-06-01", "2020-06-12", "daily")),
+        ("company_general_01_years", DateRange("2020-11-20", "2022-02-10", "monthly")),
+        ("company_platform_01_years", DateRange("2020-01-01", "2023-01-01", "yearly")),
+        ("company_genre", DateRange("2020-02-28", "2020-03-03", "daily")),
+    ],
+)
+def test_backfill_is_the_union_of_single_dates(spark, world, name, dates):
+    facts, games, _ = world
+    spec = SETS[name]
+    tags = _tags(spark, world, spec.tag) if spec.tag else None
+    single = None
+    for date in dates.labels():
+        one = build_features(facts, games, spec, date, tags)
+        single = one if single is None else single.unionByName(one)
+    _same(backfill_features(facts, games, spec, dates, tags), single)
+
+
+def test_plan_has_no_expand(spark, world):
+    facts, games, _ = world
+    tags = _tags(spark, world, "idGenre")
+    plan = build_features(facts, games, SETS["company_genre"], "2021-06-15", tags)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_null_theme_and_its_fixed_twin(spark, rows):
+    facts = spark.createDataFrame([(1, 1), (1, 2)], "idCompany long, idGame long")
+    games = spark.createDataFrame([(1, "2020-01-01"), (2, "2020-01-01")], "idGame long, dtRelease string")
+    tags = (
+        spark.createDataFrame([(1, 5)], "idGame long, idTheme long"),
+        spark.createDataFrame([(5, "Action")], "idTheme long, descName string"),
+    )
+    spec = SETS["company_themes"]
+    fixed = dataclasses.replace(spec, features=cat.theme_features(count_untagged=True))
+    assert rows(build_features(facts, games, spec, "2021-01-01", tags), "pctNull", "pctAction") == [(0.0, 0.5)]
+    assert rows(build_features(facts, games, fixed, "2021-01-01", tags), "pctNull", "pctAction") == [(0.5, 0.5)]
+
+
+def test_not_in_with_null_and_missing_label(spark):
+    facts = spark.createDataFrame([(1, 1), (1, 2), (1, 3), (1, 4)], "idCompany long, idGame long")
+    games = spark.createDataFrame([(i, "2020-01-01") for i in (1, 2, 3, 4)], "idGame long, dtRelease string")
+    tags = (
+        spark.createDataFrame([(1, 1), (2, 2), (3, 3), (4, 4)], "idGame long, idPlatform long"),
+        spark.createDataFrame(
+            [(1, "Android", "operating_system"), (2, None, "operating_system"), (3, "Linux", "operating_system"), (4, "x", "missing category")],
+            "idPlatform long, descName string, descCategory string"),
+    )
+    spec = SETS["company_platform"]
+    row = build_features(facts, games, spec, "2021-01-01", tags).first()
+    assert (row.qtdeOperatingSystem, row.qtdeMobile, row.qtdePC, row.qtdeMissingCategory) == (3, 1, 1, 0)
+    repaired = dataclasses.replace(spec, features=cat.platform_features(cat.PLATFORM_CATEGORY_DEFAULT))
+    assert build_features(facts, games, repaired, "2021-01-01", tags).first().pctMissingCategory == 0.25
+
+
+def test_more_flags_than_one_word_holds(spark):
+    names = {f"f{i}": f"t{i}" for i in range(130)}
+    spec = FeatureSpec("many", "e", "i", "rel", tag_flags("name", names), tag="t")
+    facts = spark.createDataFrame([(1, 1), (1, 2)], "e long, i long")
+    items = spark.createDataFrame([(1, "2020-01-01"), (2, "2020-01-01")], "i long, rel string")
+    tags = (
+        spark.createDataFrame([(1, 0), (1, 61), (1, 62), (2, 129)], "i long, t long"),
+        spark.createDataFrame([(i, f"t{i}") for i in range(130)], "t long, name string"),
+    )
+    row = build_features(facts, items, spec, "2021-01-01", tags).first()
+    assert [n for n in names if row[n] == 0.5] == ["f0", "f61", "f62", "f129"]
+    assert all(row[n] == 0.0 for n in names if n not in ("f0", "f61", "f62", "f129"))
+
+
+def test_flag_counts_and_shares(spark, rows):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (1, 2, None), (2, None, "a")], "e long, i long, t string")
+    flags = {"a": "t = 'a'", "none": "t IS NULL"}
+    assert rows(flag_counts(df, "e", "i", flags)) == [(1, 1, 1), (2, 0, 0)]
+    assert rows(flag_shares(df, "e", "i", flags)) == [(1, 0.5, 0.5), (2, None, None)]
+
+
+def test_attach_items_is_an_inner_join(spark, rows, credits, games):
+    got = attach_items(credits, games.select("idGame", "dtRelease"), "idGame", "idCompany")
+    assert rows(got, "idCompany", "idGame") == [(None, 11), (1, 10), (1, 10), (1, 11), (2, 12), (3, 13)]
+
+
+def test_tag_set_needs_tags(credits, games):
+    with pytest.raises(ValueError):
+        build_features(credits, games, SETS["company_genre"], "2021-01-01")
+    with pytest.raises(ValueError):
+        Feature("x", "median")
+    assert Feature("x", FLAG_SHARE, "true").arg == "true"
+
+
+def test_thirteen_sets():
+    assert len(SETS) == 13
+    assert {n: len(s.features) for n, s in SETS.items() if s.months is None} == {
+        "company_general": 16, "company_genre": 24, "company_platform": 18, "company_themes": 23}
