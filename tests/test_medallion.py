@@ -14,9 +14,10 @@ from tidemark.plans.medallion import (
     process_full,
     refresh,
     run_backfill,
+    run_backfill_kind,
     silver_tables,
 )
-from tidemark.operators.features import build_features
+from tidemark.operators.features import backfill_features, build_features
 from tidemark.sources import load_schema, read_landing, read_table, resolve_schema, save_schema
 from tidemark.streaming import run_available, stream_landing
 
@@ -60,7 +61,7 @@ def silver(spark, landing):
     return silver_tables(tables, "Own")
 
 
-def test_schemas_parse():
+def test_schemas_parse(spark):
     sizes = {name: len(T.StructType.fromDDL(ddl)) for name, ddl in cat.LANDING_SCHEMAS.items()}
     assert sizes == {"characters": 13, "collections": 11, "companies": 19, "franchises": 8, "game_modes": 7,
                      "games": 56, "genres": 7, "involved_companies": 10, "language_supports": 7, "languages": 7,
@@ -108,6 +109,18 @@ def test_backfill_job(spark, silver, tmp_path, rows):
     assert rows(got, "dtRef", "qtdeGamesInvolved01Years") == [(f"2019-04-{d}", 1) for d in (15, 16, 17)]
 
 
+def test_all_windows_of_a_kind_at_once(spark, silver, tmp_path, rows):
+    dates = DateRange("2019-12-01", "2021-06-01", "monthly")
+    sets = {n: s for n, s in cat.feature_sets("Own").items() if n.startswith("company_genre")}
+    paths = {name: str(tmp_path / name) for name in sets}
+    run_backfill_kind(spark, "company_genre", dates, silver, paths, "Own")
+    for name, spec in sets.items():
+        facts, items, tags = feature_inputs(silver, spec)
+        want = backfill_features(facts, items, spec, dates, tags)
+        got = read_table(spark, paths[name], want.schema)
+        assert got.columns == want.columns and rows(got) == rows(want) and got.count() > 0
+
+
 def test_schema_resolution(spark, landing, tmp_path):
     path = str(landing / "genres")
     declared = T.StructType.fromDDL("id long, name string")

@@ -111,6 +111,16 @@ def _backfill(spec: FeatureSpec, dates: DateRange, columns_only: list[str] | Non
     )
 
 
+def _backfill_windows() -> str:
+    base = cat.feature_sets(OWN)["company_general"]
+    per_window = [
+        f"SELECT *, CAST({months or 0} AS INTEGER) AS months "
+        f"FROM ({_backfill(dataclasses.replace(base, months=months), YEARLY)})"
+        for months in (None, *[12 * years for years in cat.WINDOW_YEARS])
+    ]
+    return " UNION ALL ".join(per_window)
+
+
 def _flags(share: bool) -> str:
     outputs = []
     for name, predicate in ROLE_FLAGS.items():
@@ -304,6 +314,7 @@ def oracle_sql() -> dict[str, str]:
         "backfill_genre_monthly": _backfill(sets["company_genre_01_years"], MONTHLY),
         "backfill_platform_daily": _backfill(five, DAILY),
         "backfill_theme_yearly": _backfill(themes, YEARLY),
+        "backfill_windows": _backfill_windows(),
         "backfill_table": _backfill(sets["company_general_01_years"], MONTHLY),
         "partition_replace": "SELECT o_orderkey, CASE WHEN dtRef = '1998-07' THEN o_totalprice * 2 ELSE o_totalprice "
         f"END AS o_totalprice, dtRef FROM ({ORDERS_BY_MONTH}) WHERE dtRef <> '1998-08'",

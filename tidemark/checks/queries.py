@@ -17,6 +17,7 @@ from tidemark.operators.dedup import latest_per_key, profile_key
 from tidemark.operators.features import (
     attach_items,
     backfill_features,
+    backfill_windows,
     build_features,
     flag_counts,
     flag_shares,
@@ -307,15 +308,24 @@ def _asof_events(max_age: dt.timedelta | None) -> Query:
 
 
 def _asof_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features read back for every supplier at month ends, as they were known then."""
+    """Stored features read back for every supplier at month ends, as they were known then."""
     s, spec = Sample(spark, sf_dir), cat.feature_sets(OWN)["company_general_01_years"]
-    feats = backfill_features(s.credits(), s.items(), spec, YEARLY).select(
+    path = shared_dir(spark, "features")
+    features = backfill_features(s.credits(), s.items(), spec, YEARLY)
+    write_backfill(features, path, YEARLY)
+    feats = read_table(spark, path, features.schema).select(
         "idCompany", "dtRef", "qtdeGamesInvolved01Years", "qtdeDaysLastRelease01Years"
     )
     ids = s.table("supplier").select(F.col("s_suppkey").alias("idCompany"))
     return asof_join(spine(ids, month_ends("1995-06-01", "2002-06-30")), feats, "idCompany", "event_timestamp", "dtRef")
 
 
+def _backfill_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s, spec = Sample(spark, sf_dir), cat.feature_sets(OWN)["company_general"]
+    windows = [None, *[12 * years for years in cat.WINDOW_YEARS]]
+    return backfill_windows(s.credits(), s.items(), spec, windows, YEARLY)
+
+
 def _projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, spec = Sample(spark, sf_dir), cat.feature_sets(OWN)["company_platform_05_years"]
     feats = build_features(s.credits(), s.items(), spec, DATES[60], s.tags(spec.tag))
@@ -361,6 +371,7 @@ def queries() -> dict[str, Query]:
         "backfill_genre_monthly": _backfill_query("company_genre_01_years", MONTHLY),
         "backfill_platform_daily": _backfill_query("company_platform_05_years", DAILY),
         "backfill_theme_yearly": _backfill_query("company_themes", YEARLY),
+        "backfill_windows": _backfill_windows,
         "backfill_table": _backfill_table,
         "partition_replace": _partition_replace,
         "partition_read": _read_partition,

@@ -7,8 +7,8 @@ Every set is computed in the same three steps:
 2. join with the item side, which carries the release day, the measures and,
    for tag sets, the flags of all the item's tags: tags are folded per item
    before any entity is involved, so they never multiply the credit rows;
-3. sum per entity. A backfill sums per (entity, first date, last date) first
-   and only then spreads those few sums over the dates they count for.
+3. sum per entity. A backfill sums per (entity, window, first date, last date)
+   first and only then spreads those few sums over the dates they count for.
 """
 
 from __future__ import annotations
@@ -168,15 +168,12 @@ def _outputs(spec: FeatureSpec, day: str) -> list[Column]:
     return out
 
 
-def _item_side(
-    items: DataFrame, spec: FeatureSpec, tags: tuple[DataFrame, DataFrame] | None, extra: dict[str, Column]
-) -> DataFrame:
+def _item_side(items: DataFrame, spec: FeatureSpec, tags: tuple[DataFrame, DataFrame] | None) -> DataFrame:
     side = items.select(
         spec.item,
         F.col(spec.release).cast("date").alias("_day"),
         *[F.col(name).alias(f"_m{i}") for i, name in enumerate(spec.measures)],
     )
-    side = side.withColumns(extra) if extra else side
     if spec.tag is None:
         return side
     if tags is None:
@@ -203,7 +200,7 @@ def build_features(
     ``items`` must be unique per item; ``tags`` is (bridge, dimension). ``sort``
     orders the result by entity.
     """
-    side = _item_side(trailing(items, spec.release, date, spec.months), spec, tags, {})
+    side = _item_side(trailing(items, spec.release, date, spec.months), spec, tags)
     parts = _partials(spec)
     sums = _credited(facts, side, spec).groupBy(spec.entity).agg(
         *[F.expr(make).alias(name) for name, (make, _) in parts.items()]
@@ -221,34 +218,79 @@ def backfill_features(
     dates: DateRange,
     tags: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
-    """The feature set for every date of the range, in one job.
+    """The feature set for every date of the range, in one job."""
+    out = backfill_windows(facts, items, spec, [spec.months], dates, tags)
+    return out.drop(WINDOW)
+
+
+WINDOW = "months"
+ALL_HISTORY = 0
 
-    An item counts for the dates between its release and the end of its window,
-    always one unbroken run of the range. Items with the same run are summed
-    first: at most ``2 * dates + 1`` rows per entity remain to be spread out,
-    however many credit rows there are.
+
+def backfill_windows(
+    facts: DataFrame,
+    items: DataFrame,
+    spec: FeatureSpec,
+    windows: list[int | None],
+    dates: DateRange,
+    tags: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
+    """The features for every date of the range and several windows, in one job.
+
+    Rows carry their window in ``months`` (0 for all history). An item counts for
+    the dates between its release and the end of the window, always one unbroken
+    run of the range. Items with the same run are summed first: at most
+    ``2 * dates + 1`` rows per entity and window remain to be spread out, however
+    many credit rows there are. The credit rows are read, folded and joined once
+    for all windows.
     """
     dtype = items.schema[spec.release].dataType
     released = items.where(F.col(spec.release) < day_bound(dtype, F.lit(dates.last)))
-    if spec.months is not None:
-        oldest = F.add_months(F.lit(dates.first), -spec.months)
+    if None not in windows:
+        oldest = F.add_months(F.lit(dates.first), -max(windows))
         released = released.where(F.col(spec.release) >= day_bound(dtype, oldest))
-    run = {
-        "_from": dates.first_after(F.col("_day")),
-        "_to": dates.last_within(F.col("_day"), spec.months),
-    }
-    side = _item_side(released, spec, tags, run).where(F.col("_from") <= F.col("_to"))
+    day = F.col("_day")
+    runs_of_item = F.array(
+        *[
+            F.struct(
+                F.lit(months or ALL_HISTORY).alias(WINDOW),
+                dates.first_after(day).alias("from"),
+                dates.last_within(day, months).alias("to"),
+            )
+            for months in windows
+        ]
+    )
+    side = _item_side(released, spec, tags).withColumn(
+        "_runs", F.filter(runs_of_item, lambda run: run["from"] <= run["to"])
+    )
     parts = _partials(spec)
-    runs = _credited(facts, side, spec).groupBy(spec.entity, "_from", "_to").agg(
-        *[F.expr(make).alias(name) for name, (make, _) in parts.items()]
+    runs = (
+        _credited(facts, side.where(F.size("_runs") > 0), spec)
+        .withColumn("_run", F.explode("_runs"))
+        .groupBy(spec.entity, f"_run.{WINDOW}", "_run.from", "_run.to")
+        .agg(*[F.expr(make).alias(name) for name, (make, _) in parts.items()])
     )
+    # Moving the few runs of an entity together, before they are spread out, saves
+    # the much larger shuffle of (entity, date) rows after it.
     per_date = (
-        runs.withColumn("_date", F.explode(dates.between(F.col("_from"), F.col("_to"))))
-        .groupBy(spec.entity, "_date")
+        runs.repartition(spec.entity)
+        .withColumn("_date", F.explode(dates.between(F.col("from"), F.col("to"))))
+        .groupBy(spec.entity, WINDOW, "_date")
         .agg(*[F.expr(f"{merge}({name})").alias(name) for name, (_, merge) in parts.items()])
     )
     return per_date.select(
         spec.entity,
         F.date_format("_date", "yyyy-MM-dd").alias(spec.ref),
         *_outputs(spec, "_date"),
+        WINDOW,
+    )
+
+
+def window_table(features: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """The table of one windowed ``spec`` out of a ``backfill_windows`` result."""
+    names = features.drop(WINDOW).columns
+    keys = names[: len(names) - len(spec.features)]
+    renamed = zip(names[len(keys) :], spec.features)
+    return features.where(F.col(WINDOW) == (spec.months or ALL_HISTORY)).select(
+        *keys, *[F.col(name).alias(feature.name) for name, feature in renamed]
     )

@@ -190,6 +190,7 @@ class EntitySpec:
 
     ``columns`` maps source to output names, in output order; ``codes`` gives
     (labels, default) for the sources to decode; epoch columns are converted.
+    ``sort`` and ``spread`` name source columns.
     """
 
     source: str
@@ -285,7 +286,7 @@ def entity_tables(own: str) -> dict[str, EntitySpec]:
                 "version_title": "descVersionTitle",
             },
             codes={"category": (GAME_CATEGORY, GAME_CATEGORY_DEFAULT)},
-            sort=("idGame",),
+            sort=("id",),
         ),
         "genres": EntitySpec(
             "genres",
@@ -311,8 +312,8 @@ def entity_tables(own: str) -> dict[str, EntitySpec]:
                 "created_at": "dtCreated",
                 "updated_at": "dtUpdated",
             },
-            sort=("idGame",),
-            spread=("idCompanyGame",),
+            sort=("game",),
+            spread=("id",),
         ),
         "platforms": EntitySpec(
             "platforms",

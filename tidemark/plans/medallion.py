@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemark.functions.columns import decode, epoch_text, epoch_timestamp
 from tidemark.functions.dates import DateRange
 from tidemark.operators.dedup import latest_per_key
-from tidemark.operators.features import backfill_features
+from tidemark.operators.features import WINDOW, backfill_features, backfill_windows, window_table
 from tidemark.operators.shape import explode_bridge, sorted_entity, stamp
 from tidemark.plans import catalogue as cat
 from tidemark.plans.feature_spec import FeatureSpec
 from tidemark.sinks.keyed_table import KeyedTable
+from tidemark.sinks.storage import shared_dir
 from tidemark.sinks.tables import save_full, write_backfill
 from tidemark.sources.landing import read_landing, resolve_schema
+from tidemark.sources.tables import read_table
 from tidemark.streaming.upserts import checkpoint_for, stream_landing, upsert_stream
 
 Tables = Mapping[str, DataFrame]
@@ -62,6 +64,9 @@ def entity_table(landing: DataFrame, spec: cat.EntitySpec, typed: bool = False)
     Date-times are text unless ``typed``; real timestamps filter better.
     """
     convert = epoch_timestamp if typed else epoch_text
+    if spec.sort:
+        # Sorted before projecting: the shuffle carries numbers, not date-time texts.
+        landing = sorted_entity(landing, spec.sort, spec.spread)
     out = []
     for source, name in spec.columns.items():
         col = F.col(source)
@@ -70,8 +75,7 @@ def entity_table(landing: DataFrame, spec: cat.EntitySpec, typed: bool = False)
         elif source in cat.EPOCH_COLUMNS:
             col = convert(col)
         out.append(col.alias(name))
-    table = landing.select(*out)
-    return sorted_entity(table, spec.sort, spec.spread) if spec.sort else table
+    return landing.select(*out)
 
 
 def bridge_table(landing: DataFrame, spec: cat.BridgeSpec) -> DataFrame:
@@ -137,3 +141,23 @@ def run_backfill(job: BackfillJob, tables: Tables, path: str, own: str) -> None:
     spec = cat.feature_sets(own)[job.table]
     facts, items, tags = feature_inputs(tables, spec)
     write_backfill(backfill_features(facts, items, spec, job.dates, tags), path, job.dates, job.partition)
+
+
+def run_backfill_kind(
+    spark: SparkSession, kind: str, dates: DateRange, tables: Tables, paths: Mapping[str, str], own: str
+) -> None:
+    """Backfill a set and its windowed forms together (``paths`` maps set to table).
+
+    The credit rows are joined once and the result of all windows written once,
+    to the shared folder; each table is then a filtered copy of its own window.
+    """
+    sets = {name: spec for name, spec in cat.feature_sets(own).items() if name.startswith(kind)}
+    base = sets[kind]
+    facts, items, tags = feature_inputs(tables, base)
+    windows = [spec.months for spec in sets.values()]
+    features = backfill_windows(facts, items, base, windows, dates, tags)
+    staged = shared_dir(spark, "windows")
+    save_full(features, staged, [WINDOW])
+    for name, spec in sets.items():
+        table = window_table(read_table(spark, staged, features.schema), spec)
+        write_backfill(table, paths[name], dates, spec.ref)
