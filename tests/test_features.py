@@ -238,7 +238,7 @@ def test_flag_counts_and_shares(spark, rows):
 
 
 def test_attach_items_is_an_inner_join(spark, rows, credits, games):
-    got = attach_items(credits, games.select("idGame", "dtRelease"), "idGame", "idCompany")
+    got = attach_items(credits, games.select("idGame", "dtRelease"), "idGame")
     assert rows(got, "idCompany", "idGame") == [(None, 11), (1, 10), (1, 10), (1, 11), (2, 12), (3, 13)]
 
 

@@ -77,7 +77,7 @@ def _backfill_query(name: str, dates: DateRange) -> Query:
 
 def _released_credits(s: Sample) -> DataFrame:
     items = trailing(s.items(), "dtRelease", DATES[12], 12).select("idGame", "dtRelease")
-    return attach_items(s.credits(), items, "idGame", "idCompany")
+    return attach_items(s.credits(), items, "idGame")
 
 
 ROLE_FLAGS = {

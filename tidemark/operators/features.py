@@ -38,13 +38,15 @@ def entity_items(facts: DataFrame, entity: str, item: str, predicates: list[str]
     )
 
 
-def attach_items(facts: DataFrame, items: DataFrame, item: str, spread: str) -> DataFrame:
+def attach_items(facts: DataFrame, items: DataFrame, item: str) -> DataFrame:
     """Credit rows with their item's columns; ``items`` is unique per ``item``.
 
     An outer join followed by a filter on the item side keeps matches only, so
-    this is an inner join. A hot item is spread by the hash of ``spread``.
+    this is an inner join. The rows of a hot item are spread by a hash of all
+    their other columns.
     """
-    return salted_join(facts, items, item, [spread], heavy_keys(facts, item))
+    spread = [c for c in facts.columns if c != item]
+    return salted_join(facts, items, item, spread, heavy_keys(facts, item))
 
 
 def _fill_untagged(df: DataFrame, dim: DataFrame, predicates: list[str]) -> DataFrame:

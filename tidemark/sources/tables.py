@@ -9,12 +9,15 @@ def read_table(spark: SparkSession, source: str, schema: T.StructType | str | No
     """A table by path or catalogue name.
 
     Pass ``schema`` for partitioned paths: left alone, Spark reads a text
-    partition column such as ``dtRef`` back as a date.
+    partition column such as ``dtRef`` back as a date, and puts it last.
     """
     if "/" not in source:
         return spark.table(source)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(source)
+    if schema is None:
+        return spark.read.parquet(source)
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    return spark.read.schema(schema).parquet(source).select(*schema.names)
 
 
 def read_partition(
