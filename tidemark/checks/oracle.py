@@ -29,7 +29,7 @@ BRAND_BRIDGE = f"""SELECT l_orderkey AS idGame, {BRAND} AS tag FROM lineitem JOI
 
 def _brand_dim(column: str, values: list[str]) -> str:
     listed = ", ".join(fs.text(v) for v in values)
-    return f"""SELECT DISTINCT {BRAND} AS tag, [{listed}][{BRAND}] AS {column} FROM part WHERE {BRAND} <= {len(values)}"""
+    return f"SELECT n_nationkey + 1 AS tag, [{listed}][n_nationkey + 1] AS {column} FROM nation WHERE n_nationkey < {len(values)}"
 
 
 TAGS = {
@@ -186,7 +186,9 @@ def _silver() -> dict[str, str]:
             "orders", "o_orderkey", "idGame", ORDER_DAY, descName="", descGameName="'Name ' || o_orderkey",
             vlRatingExternal="o_totalprice / 10", qtdeRatingExternal="o_custkey % 50",
             descCategory=_case("nullif(o_orderkey % 17, 16)", cat.GAME_CATEGORY, cat.GAME_CATEGORY_DEFAULT),
-            idCollection=_links("o_custkey", "o_custkey"), idCover="o_custkey + 1", dtRelease=release,
+            idCollection="array_to_string([coalesce(CAST(x AS VARCHAR), '-') FOR x IN "
+            f"{_links('o_custkey', 'o_custkey')}], ',')",
+            idCover="o_custkey + 1", dtRelease=release,
             descMainFranchise="o_custkey % 100", idParentGame="nullif(o_orderkey % 10, 0)",
             **{f"vlRating{OWN}": "o_totalprice / 20", f"qtdeRating{OWN}": "o_custkey % 60"},
             vlRatingTotal="o_totalprice / 40", qtdeRatingTotal="o_custkey % 70", urlGame="'/item/' || o_orderkey",

@@ -110,7 +110,10 @@ def _filter_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _entity_query(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = cat.entity_tables(OWN)[name]
-        return entity_table(Sample(spark, sf_dir).landing(spec.source), spec)
+        table = entity_table(Sample(spark, sf_dir).landing(spec.source), spec)
+        # The array column is shown as text, for the comparison.
+        arrays = [c for c, kind in table.dtypes if kind == "array<bigint>"]
+        return table.withColumns({c: F.array_join(F.col(c).cast("array<string>"), ",", "-") for c in arrays})
 
     return query
 

@@ -61,9 +61,11 @@ class Sample:
         )
 
     def _brand_dim(self, tag: str, name: str, values: list[str]) -> DataFrame:
+        """Brands have the numbers 1 to 25, one more than the nations: those lend the labels a table."""
         labels = F.array(*[F.lit(v) for v in values])
-        brands = self.table("part").select(_brand().alias(tag)).where(F.col(tag) <= len(values)).distinct()
-        return brands.select(tag, F.element_at(labels, F.col(tag).cast("int")).alias(name))
+        brands = self.table("nation").where(F.col("n_nationkey") < len(values))
+        number = F.col("n_nationkey") + 1
+        return brands.select(number.cast("long").alias(tag), F.element_at(labels, number).alias(name))
 
     def tags(self, tag: str | None) -> tuple[DataFrame, DataFrame] | None:
         if tag is None:
