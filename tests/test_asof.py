@@ -75,7 +75,7 @@ def test_hot_id_and_hot_instant_are_spread(spark):
         F.lit(1).alias("_id"),
         F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, if(id % 2 = 0, 100, id))").alias("_t"),
         F.struct("id").alias("_row"), F.lit(1).alias("_side"))
-    sliced = asof._with_slice(left, 6).groupBy("_slice").count()
+    sliced = asof._with_slice(left, asof._quantiles(left, 6), 6).groupBy("_slice").count()
     assert sliced.count() >= 60 and sliced.agg(F.max("count")).first()[0] < 3 * 40_000 / 64
 
 

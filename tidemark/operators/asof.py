@@ -22,34 +22,52 @@ def _common_time(spine_type: T.DataType, ref_type: T.DataType) -> str:
     return "timestamp" if any(isinstance(k, T.TimestampType) for k in kinds) else "timestamp_ntz"
 
 
-def _count_edges(test: str, name: str, bits: int) -> tuple[list[str], str]:
-    """SQL aliases that count the leading ``_edges`` with ``edge <test> _t``: a binary search."""
-    steps, found = [], "0"
-    for bit in reversed(range(bits)):
-        edge = f"get(_edges, {found} + {(1 << bit) - 1})"
-        steps.append(f"{found} + if({edge} {test} _t, {1 << bit}, 0) AS {name}{bit}")
-        found = f"{name}{bit}"
-    return steps, found
+def _quantiles(times: DataFrame, bits: int) -> Column:
+    """Scalar subquery: the ``2**bits - 1`` quantiles of ``_t``, and for each its first index.
+
+    One pass with a mergeable sketch; nothing is collected.
+    """
+    count = 1 << bits
+    cuts = ", ".join(f"{i / count!r}D" for i in range(1, count))
+    sketch = times.agg(F.expr(f"percentile_approx(_t, array({cuts}), {QUANTILE_ACCURACY})").alias("at"))
+    return sketch.selectExpr("struct(at, transform(at, t -> array_position(at, t) - 1) AS first) AS q").scalar()
 
 
-def _with_slice(df: DataFrame, bits: int) -> DataFrame:
+def _with_slice(df: DataFrame, quantiles: Column, bits: int) -> DataFrame:
     """Add ``_slice``, which grows with ``_t`` and holds about ``1/2**bits`` of the rows.
 
-    Slices end at time quantiles, found in one pass by a mergeable sketch (a
-    scalar subquery). An instant so frequent that several quantiles fall on it
-    owns several slices: rows looking something up are hashed over them, feature
-    rows take the first, where the rest inherit them. Rows without id or time
-    match nothing and are parked, by hash, in slices below all others.
+    It is the number of quantiles at or before ``_t``, found by binary search. An
+    instant so frequent that several quantiles fall on it owns several slices:
+    rows looking something up are hashed over them, feature rows take the first,
+    where the rest inherit them. Rows without id or time match nothing and are
+    parked, by hash, in slices below all others.
     """
-    count = 1 << bits
-    cuts = ", ".join(f"{i / count!r}D" for i in range(1, count)) or "0.5D"
-    edges = df.agg(F.expr(f"percentile_approx(_t, array({cuts}), {QUANTILE_ACCURACY})")).scalar()
-    below, low = _count_edges("<", "_l", bits)
-    upto, high = _count_edges("<=", "_h", bits)
-    spread = f"{low} + if({high} > {low}, 1 + if(_side = 1, pmod(xxhash64(_row), {high} - {low}), 0), 0)"
-    parked = f"-1 - (xxhash64(_row) & {count - 1})"
-    return df.withColumn("_edges", edges).selectExpr("*", *below, *upto).selectExpr(
-        *df.columns, f"int(if(_id IS NULL OR _t IS NULL, {parked}, {spread})) AS _slice"
+    steps, found = [], "0"
+    for bit in reversed(range(bits)):
+        edge = f"get(_q.at, {found} + {(1 << bit) - 1})"
+        steps.append(f"{found} + if({edge} <= _t, {1 << bit}, 0) AS _s{bit}")
+        found = f"_s{bit}"
+    owned = f"if(get(_q.at, {found} - 1) = _t, {found} - get(_q.first, {found} - 1), 0)"
+    spread = f"{found} - if(_owned > 1, if(_side = 1, pmod(xxhash64(_row), _owned), _owned - 1), 0)"
+    parked = f"-1 - (xxhash64(_row) & {(1 << bits) - 1})"
+    return (
+        df.withColumn("_q", quantiles)
+        .selectExpr("*", *steps, f"{owned} AS _owned")
+        .selectExpr(*df.columns, f"int(if(_id IS NULL OR _t IS NULL, {parked}, {spread})) AS _slice")
+    )
+
+
+def _carried(both: DataFrame) -> DataFrame:
+    """What each (id, slice) inherits: the last feature row of the slices before, if any."""
+    summary = both.groupBy("_id", "_slice").agg(
+        F.max_by("_feat", F.when(F.col("_side") == 0, F.col("_t"))).alias("_feat"),
+        F.max("_side").alias("_wanted"),
+    )
+    earlier = W.partitionBy("_id").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    return (
+        summary.withColumn("_feat", F.last("_feat", ignorenulls=True).over(earlier))
+        .where((F.col("_wanted") == 1) & F.col("_feat").isNotNull())
+        .select("_id", "_slice", "_feat", F.lit(-1).alias("_side"))
     )
 
 
@@ -72,6 +90,7 @@ def asof_join(
     quantiles, (id, slice) groups are scanned in time order, and what a slice
     needs from before it is one carried row per (id, slice), found from
     per-slice summaries. So the largest group is the share of one slice.
+    ``slice_bits=0`` scans whole ids instead: quicker, for tables where no id is hot.
     """
     overlap = set(rows.columns) & (set(feats.columns) - {id})
     if overlap:
@@ -87,35 +106,27 @@ def asof_join(
     ).where(F.col("_id").isNotNull() & F.col("_t").isNotNull())
 
     # Equal times of one id: keep the feature row that the tie columns choose.
+    once = right
     if tie:
-        right = right.groupBy("_id", "_t").agg(
+        once = right.groupBy("_id", "_t").agg(
             F.max_by("_feat", F.struct(*[F.col("_feat")[c] for c in tie])).alias("_feat")
         )
     both = left.withColumn("_side", F.lit(1)).unionByName(
-        right.withColumn("_side", F.lit(0)), allowMissingColumns=True
-    )
-
-    both = _with_slice(both, slice_bits)
-
-    # What each (id, slice) inherits: the last feature row of the slices before.
-    summary = both.groupBy("_id", "_slice").agg(
-        F.max_by("_feat", F.when(F.col("_side") == 0, F.col("_t"))).alias("_feat"),
-        F.max("_side").alias("_wanted"),
-    )
-    earlier = W.partitionBy("_id").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    carried = (
-        summary.withColumn("_feat", F.last("_feat", ignorenulls=True).over(earlier))
-        .where((F.col("_wanted") == 1) & F.col("_feat").isNotNull())
-        .select("_id", "_slice", "_feat", F.lit(-1).alias("_side"))
+        once.withColumn("_side", F.lit(0)), allowMissingColumns=True
     )
+    if slice_bits:
+        quantiles = _quantiles(left.select("_t").unionByName(right.select("_t")), slice_bits)
+        both = _with_slice(both, quantiles, slice_bits)
+        both = both.unionByName(_carried(both), allowMissingColumns=True)
+    else:
+        both = both.withColumn("_slice", F.lit(0))
     within = (
         W.partitionBy("_id", "_slice")
         .orderBy(F.col("_t").asc_nulls_first(), "_side")
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     matched = (
-        both.unionByName(carried, allowMissingColumns=True)
-        .withColumn("_feat", F.last("_feat", ignorenulls=True).over(within))
+        both.withColumn("_feat", F.last("_feat", ignorenulls=True).over(within))
         .where(F.col("_side") == 1)
         .select("_row", "_feat")
     )
