@@ -103,6 +103,8 @@ def test_backfill_job(spark, silver, tmp_path, rows):
     assert job.dates.period == "daily" and job.id_fields == ("idCompany",)
     assert BackfillJob.from_record({**record, "monthly": "True", "date_stop": "2019-06-01"}).dates.period == "monthly"
     assert BackfillJob.from_record({**record, "monthly": "no"}).dates.period == "daily"
+    with pytest.raises(ValueError):
+        run_backfill(BackfillJob.from_record({**record, "id_fields": "idGame"}), silver, str(tmp_path / "f"), "Own")
     for _ in range(2):
         run_backfill(job, silver, str(tmp_path / "f"), "Own")
     got = read_table(spark, str(tmp_path / "f"), "idCompany long, qtdeGamesInvolved01Years long, dtRef string")

@@ -139,6 +139,8 @@ class BackfillJob:
 def run_backfill(job: BackfillJob, tables: Tables, path: str, own: str) -> None:
     """Compute all dates of the job in one pass and replace their partitions."""
     spec = cat.feature_sets(own)[job.table]
+    if job.id_fields != (spec.entity,):
+        raise ValueError(f"{job.table} is keyed by {spec.entity}, not {', '.join(job.id_fields)}")
     facts, items, tags = feature_inputs(tables, spec)
     write_backfill(backfill_features(facts, items, spec, job.dates, tags), path, job.dates, job.partition)
 
