@@ -25,13 +25,18 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint directory.
+    """A fresh folder below the shared checkpoint directory of the session."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
-    Only a local session without that setting gets a temporary folder.
-    """
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint directory; only where none is set, a temporary one is made and set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if base and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(base)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        # setCheckpointDir appends a folder of its own, once per application.
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        base = spark.sparkContext.getCheckpointDir()
+    return base
