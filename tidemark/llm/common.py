@@ -13,7 +13,7 @@ from tidemark.sinks.storage import checkpoint_dir
 # A key is heavy if it has over 1/HEAVY_ONE_IN of the rows: under HEAVY_ONE_IN keys can be.
 HEAVY_ONE_IN = 1024
 # Below so many rows a key fits one task anyhow.
-HEAVY_ROWS = 4096
+HEAVY_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
