@@ -1,0 +1,46 @@
+"""Plain versions of the operators, for comparison on small inputs."""
+
+from __future__ import annotations
+
+import xxhash
+
+
+def words(text):
+    return [] if text is None else text.encode().lower().split()
+
+
+def simhash(text, k=4):
+    w = words(text)
+    if not w:
+        return 0
+    grams = [b" ".join(w[i : i + k]) for i in range(max(1, len(w) - k + 1))]
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(n, links):
+    parent = list(range(n))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        parent[find(a)] = find(b)
+    return [find(i) for i in range(n)]
+
+
+def simhash_groups(rows, k=4, distance=4):
+    """rows of (doc_id, text); the sorted (doc_id, fingerprint, component_id)."""
+    prints = [simhash(t, k) for _, t in rows]
+    links = [
+        (i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= distance
+    ]
+    roots = groups(len(rows), links)
+    least = {}
+    for (doc, _), r in zip(rows, roots):
+        if doc is not None:
+            least[r] = min(least.get(r, doc), doc)
+    return [(d, f"{p:016x}", least.get(r)) for (d, _), p, r in zip(rows, prints, roots)]

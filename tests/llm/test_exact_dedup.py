@@ -1,0 +1,43 @@
+import hashlib
+
+import pytest
+
+from tidemark.llm.exact_dedup import drop_exact_duplicates, exact_dedup
+
+ROWS = [
+    (1, "Same Text", "x"), (4, "same text", "y"), (2, "SAME TEXT", None), (3, None, "z"), (5, "", "z"), (6, "É", "q"),
+    (7, "é", "q"), (None, "same text", "n"), (None, "alone", "n"), (8, "w" * 200_000, "long"), (8, "W" * 200_000, "long"),
+    (9, "tie", "a"), (9, "tie", "b"), (9, "other tie", "c"),
+]
+SCHEMA = "doc_id long, text string, Digest string"
+
+
+def _want():
+    norm = lambda t: (t or "").encode().lower()
+    out = set()
+    for doc, text, _ in ROWS:
+        group = [d for d, t, _ in ROWS if norm(t) == norm(text)]
+        keep = max((d for d in group if d is not None), default=None)
+        out.add((doc, keep, len(group), doc == keep, hashlib.sha256(norm(text)).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("digest_bytes", [32, 1, 0])
+def test_equals_brute_force(spark, digest_bytes):
+    """With no digest left, all texts collide and only the texts tell them apart."""
+    got = exact_dedup(spark.createDataFrame(ROWS, SCHEMA).repartition(4), digest_bytes=digest_bytes)
+    assert sorted(map(tuple, got.collect()), key=str) == _want()
+
+
+def test_rows_that_stay(spark, rows):
+    kept = drop_exact_duplicates(spark.createDataFrame(ROWS, SCHEMA))
+    assert kept.columns == ["doc_id", "text", "Digest"]
+    got = [(r[0], len(r[1] or "")) for r in rows(kept)]
+    assert got == [(None, 5), (4, 9), (5, 0), (6, 1), (7, 1), (8, 200_000), (9, 3), (9, 9)] or sorted(
+        got, key=str
+    ) == sorted([(None, 5), (4, 9), (5, 0), (6, 1), (7, 1), (8, 200_000), (9, 3), (9, 9)], key=str)
+
+
+def test_empty(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert exact_dedup(empty).collect() == [] and drop_exact_duplicates(empty).collect() == []

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
     exact_dedup,
+    simhash_dedup,
 )
 from tidemark.llm.common import table
 
@@ -20,6 +21,10 @@ def _exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def _simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.simhash_dedup(table(spark, sf_dir, "documents"))
+
+
 _EXACT_DEDUP_SQL = f"""
 SELECT DISTINCT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256
 FROM (
@@ -32,6 +37,7 @@ FROM (
 def queries() -> dict[str, Query]:
     return {
         "op2_exact_dedup": _exact_dedup,
+        "op7_simhash_dedup": _simhash_dedup,
     }
 
 
