@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.common import table
+from tidemark.llm.decontamination import drop_leaks
 from tidemark.llm.exact_dedup import drop_exact_duplicates
+from tidemark.llm.language_id import drop_unrecognised
+from tidemark.llm.simhash_dedup import drop_near_duplicates
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of a recognised language; the model is learned from all rows that name theirs."""
+    return drop_unrecognised(docs)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,8 +21,21 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return drop_exact_duplicates(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest id."""
+    return drop_near_duplicates(docs)
+
+
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no item of the benchmark."""
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 STAGES = [
+    ("language_id", language),
     ("exact_dedup", exact_copies),
+    ("simhash_dedup", near_copies),
+    ("decontamination", leaks),
 ]
 
 ORACLE_SQL = None

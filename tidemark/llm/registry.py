@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
+    decontamination,
     exact_dedup,
+    language_id,
+    secret_scan,
     simhash_dedup,
+    substring_dedup,
 )
 from tidemark.llm.common import table
 
@@ -17,10 +21,26 @@ Query = Callable[[SparkSession, str], DataFrame]
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def _substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def _exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
+def _secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
+
+
 def _simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.simhash_dedup(table(spark, sf_dir, "documents"))
 
@@ -33,10 +53,32 @@ FROM (
 )
 """
 
+# Words as Spark's: cut at space and the controls 9 to 13; shingles of five.
+_SHINGLES = f"""
+SELECT DISTINCT %s, list_aggregate(w[i:i + 4], 'string_agg', ' ') AS gram
+FROM (
+    SELECT %s, w, unnest(range(1, len(w) - 3)) AS i
+    FROM (SELECT %s, list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM %s)
+)
+"""
+_DECONTAMINATION_SQL = f"""
+WITH items AS ({_SHINGLES % (("item_id",) * 3 + ("benchmark",))}),
+docs AS ({_SHINGLES % (("doc_id",) * 3 + ("documents",))}),
+sizes AS (SELECT item_id, count(*) AS item_shingles FROM items GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS shared, item_shingles, count(*) / item_shingles AS containment
+FROM docs JOIN items USING (gram) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id, item_shingles
+HAVING count(*) >= 0.8 * item_shingles
+"""
+
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_substring_dedup": _substring_dedup,
         "op2_exact_dedup": _exact_dedup,
+        "op4_decontamination": _decontamination,
+        "op5_language_id": _language_id,
+        "op6_secret_scan": _secret_scan,
         "op7_simhash_dedup": _simhash_dedup,
     }
 
@@ -44,4 +86,5 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_exact_dedup": _EXACT_DEDUP_SQL,
+        "op4_decontamination": _DECONTAMINATION_SQL,
     }
