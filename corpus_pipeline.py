@@ -9,6 +9,7 @@ from tidemark.llm.decontamination import drop_leaks
 from tidemark.llm.exact_dedup import drop_exact_duplicates
 from tidemark.llm.language_id import drop_unrecognised
 from tidemark.llm.simhash_dedup import drop_near_duplicates
+from tidemark.llm.source_mixing import mixed_sample
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,11 +32,17 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample with raked weights of sources, languages and topics; adds topic, tokens, weight and probability."""
+    return mixed_sample(docs)
+
+
 STAGES = [
     ("language_id", language),
     ("exact_dedup", exact_copies),
     ("simhash_dedup", near_copies),
     ("decontamination", leaks),
+    ("source_mixing", mixture),
 ]
 
 ORACLE_SQL = None

@@ -10,16 +10,17 @@ from tidemark.llm import (
     decontamination,
     exact_dedup,
     language_id,
+    oracles,
     secret_scan,
     simhash_dedup,
+    source_mixing,
     substring_dedup,
+    url_filter,
 )
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
 
 def _substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
@@ -45,31 +46,12 @@ def _simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.simhash_dedup(table(spark, sf_dir, "documents"))
 
 
-_EXACT_DEDUP_SQL = f"""
-SELECT DISTINCT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256
-FROM (
-    SELECT doc_id, norm, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size
-    FROM (SELECT doc_id, {_LOWER} AS norm FROM documents)
-)
-"""
-
-# Words as Spark's: cut at space and the controls 9 to 13; shingles of five.
-_SHINGLES = f"""
-SELECT DISTINCT %s, list_aggregate(w[i:i + 4], 'string_agg', ' ') AS gram
-FROM (
-    SELECT %s, w, unnest(range(1, len(w) - 3)) AS i
-    FROM (SELECT %s, list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM %s)
-)
-"""
-_DECONTAMINATION_SQL = f"""
-WITH items AS ({_SHINGLES % (("item_id",) * 3 + ("benchmark",))}),
-docs AS ({_SHINGLES % (("doc_id",) * 3 + ("documents",))}),
-sizes AS (SELECT item_id, count(*) AS item_shingles FROM items GROUP BY item_id)
-SELECT doc_id, item_id, count(*) AS shared, item_shingles, count(*) / item_shingles AS containment
-FROM docs JOIN items USING (gram) JOIN sizes USING (item_id)
-GROUP BY doc_id, item_id, item_shingles
-HAVING count(*) >= 0.8 * item_shingles
-"""
+def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_filter(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def _source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mixing.mix(table(spark, sf_dir, "documents")).drop("text", "n_chars")
 
 
 def queries() -> dict[str, Query]:
@@ -80,11 +62,14 @@ def queries() -> dict[str, Query]:
         "op5_language_id": _language_id,
         "op6_secret_scan": _secret_scan,
         "op7_simhash_dedup": _simhash_dedup,
+        "op8_url_filter": _url_filter,
+        "op10_source_mixing": _source_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op2_exact_dedup": _EXACT_DEDUP_SQL,
-        "op4_decontamination": _DECONTAMINATION_SQL,
+        "op2_exact_dedup": oracles.EXACT_DEDUP,
+        "op4_decontamination": oracles.DECONTAMINATION,
+        "op8_url_filter": oracles.URL_FILTER,
     }
