@@ -15,6 +15,7 @@ from tidemark.llm import (
     simhash_dedup,
     source_mixing,
     substring_dedup,
+    toxicity,
     url_filter,
 )
 from tidemark.llm.common import table
@@ -46,6 +47,10 @@ def _simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.simhash_dedup(table(spark, sf_dir, "documents"))
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
@@ -58,6 +63,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": _substring_dedup,
         "op2_exact_dedup": _exact_dedup,
+        "op3_toxicity": _toxicity,
         "op4_decontamination": _decontamination,
         "op5_language_id": _language_id,
         "op6_secret_scan": _secret_scan,
