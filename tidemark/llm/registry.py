@@ -10,6 +10,7 @@ from tidemark.llm import (
     decontamination,
     exact_dedup,
     language_id,
+    lm_scoring,
     oracles,
     secret_scan,
     simhash_dedup,
@@ -55,6 +56,10 @@ def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def _lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scoring(table(spark, sf_dir, "documents"))
+
+
 def _source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix(table(spark, sf_dir, "documents")).drop("text", "n_chars")
 
@@ -69,6 +74,7 @@ def queries() -> dict[str, Query]:
         "op6_secret_scan": _secret_scan,
         "op7_simhash_dedup": _simhash_dedup,
         "op8_url_filter": _url_filter,
+        "op9_lm_scoring": _lm_scoring,
         "op10_source_mixing": _source_mixing,
     }
 
