@@ -2,15 +2,13 @@
 
 Layout below ``path``::
 
-    base/through=<n>/             the table with all changes up to n folded in
-    changes/seq=<n>/token=<t>/    the rows of one applied batch
-
-Applying a batch writes only that batch, whatever the size of the table. Readers
-merge the changes since the newest complete base; ``compact`` folds them into a
-new base, once per run rather than once per batch. Every write is one Spark job
-into its own directory and counts from the moment its ``_SUCCESS`` marker is
-there, so a lost executor or a killed driver leaves nothing half-applied, and a
-batch that is applied again (same token) overwrites itself. One writer at a time.
+    epoch-<n>/base/                  the table when the epoch began
+    epoch-<n>/changes/<k>-<token>/   the rows of the k-th batch since
+
+Applying a batch writes only that batch. Readers merge the batches of the newest
+epoch into its base; ``compact`` begins a new epoch. Every write is one Spark job
+into its own folder and counts from the moment its ``_SUCCESS`` marker is there.
+One writer at a time.
 """
 
 from __future__ import annotations
@@ -22,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.dedup import latest_per_key, split_null_keys
 from tidemark.operators.upsert import MODES, upsert
-from tidemark.sinks.storage import matching
-from tidemark.sinks.tables import ensure_table
+from tidemark.sinks.storage import matching, remove
+
+ORDER = "_batch"
 
 
 class KeyedTable:
@@ -36,70 +35,88 @@ class KeyedTable:
         ts: str,
         mode: str = "last_write",
         tie: Sequence[str] = (),
+        rejects: str | None = None,
     ) -> None:
+        """``rejects``: a folder that rows without a complete key are appended to; without one they fail the batch."""
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        if ORDER in {n.lower() for n in self.schema.names}:
+            raise ValueError(f"the column name {ORDER} is taken")
         self.ids = list(ids)
         self.ts = ts
         self.mode = mode
         self.tie = list(tie)
+        self.rejects = rejects
 
     def ensure(self) -> None:
         """Create the table with zero rows if it does not exist."""
-        if self._through() is None:
-            ensure_table(self.spark, f"{self.path}/base/through=0", self.schema)
+        if self._epoch() is None:
+            self.spark.createDataFrame([], self.schema).write.mode("overwrite").parquet(f"{self.path}/epoch-0/base")
 
     def apply(self, batch: DataFrame, token: str) -> None:
-        """Upsert a batch: its latest row per key, rows with a NULL key left out.
+        """Upsert a batch: its latest row per key.
 
-        ``token`` names the batch; applying it again replaces the first attempt.
+        ``token`` names the batch. One that this epoch or the one before holds
+        completely is not applied again; an attempt that broke off is ignored
+        and the batch gets the next number.
         """
         if not re.fullmatch(r"[\w.\-]+", token):
             raise ValueError(f"token {token!r} may hold only letters, digits and _ . -")
-        keyed, _ = split_null_keys(batch.select(*self.schema.names), self.ids)
-        # Attempts that never completed still own their number, hence no _SUCCESS here.
-        known = self._sequence("changes/seq=*/token=*")
-        attempt = [n for n, found in known if found.endswith(f"/token={token}")]
-        seq = attempt[0] if attempt else max([n for n, _ in known] + [self._through() or 0]) + 1
-        latest_per_key(keyed, self.ids, self.ts, self.tie).write.mode("overwrite").parquet(
-            f"{self.path}/changes/seq={seq}/token={token}"
+        epoch = self._epoch() or 0
+        begun = [self._number(p) for p in matching(self.spark, f"{self.path}/epoch-{epoch}/changes/*")]
+        done = [
+            p for e in (epoch - 1, epoch) for p in matching(self.spark, f"{self.path}/epoch-{e}/changes/*-{token}/_SUCCESS")
+        ]
+        if any(re.search(rf"/\d+-{re.escape(token)}/_SUCCESS$", p) for p in done):
+            return
+        number = max(begun, default=0) + 1
+        keyed, loose = split_null_keys(batch.select(*self.schema.names), self.ids)
+        if self.rejects is not None:
+            loose.write.mode("overwrite").parquet(f"{self.rejects.rstrip('/')}/{token}")
+        elif not loose.isEmpty():
+            raise ValueError(f"batch {token}: rows with a NULL in the key {self.ids}")
+        latest_per_key(keyed, self.ids, self.ts, self.tie).withColumn(ORDER, F.lit(number).cast("long")).write.parquet(
+            f"{self.path}/epoch-{epoch}/changes/{number}-{token}"
         )
 
     def read(self) -> DataFrame:
         """The current table."""
-        through = self._through()
-        if through is None:
+        epoch = self._epoch()
+        if epoch is None:
             raise FileNotFoundError(f"no table at {self.path}")
-        base = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/through={through}")
-        pending = [(n, p) for n, p in self._complete_changes() if n > through]
+        base = self.spark.read.schema(self.schema).parquet(f"{self.path}/epoch-{epoch}/base")
+        pending = self._pending(epoch)
         if not pending:
             return base
-        changes = (
-            self.spark.read.schema(T.StructType(self.schema.fields + [T.StructField("seq", T.LongType())]))
-            .option("basePath", f"{self.path}/changes")
-            .parquet(*[p for _, p in pending])
-        )
-        order = ["seq"] if self.mode == "last_write" else [self.ts, "seq"]
-        latest = latest_per_key(changes, self.ids, order)
+        changes = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(ORDER, T.LongType())]))
+        order = [ORDER] if self.mode == "last_write" else [self.ts, ORDER]
+        latest = latest_per_key(changes.parquet(*pending), self.ids, order).drop(ORDER)
         return upsert(base, latest, self.ids, self.mode, self.ts)
 
     def compact(self) -> None:
-        """Fold all applied changes into a new base."""
-        through = self._through()
-        newest = max([n for n, _ in self._complete_changes()], default=through)
-        if newest is not None and newest > (through or 0):
-            self.read().write.mode("overwrite").parquet(f"{self.path}/base/through={newest}")
-
-    def _through(self) -> int | None:
-        return max([n for n, _ in self._sequence("base/through=*/_SUCCESS")], default=None)
-
-    def _complete_changes(self) -> list[tuple[int, str]]:
-        found = self._sequence("changes/seq=*/token=*/_SUCCESS")
-        return [(n, p.removesuffix("/_SUCCESS")) for n, p in found]
-
-    def _sequence(self, pattern: str) -> list[tuple[int, str]]:
-        paths = matching(self.spark, f"{self.path}/{pattern}")
-        return sorted((int(re.search(r"/(?:seq|through)=(\d+)", p)[1]), p) for p in paths)
+        """Fold all applied batches into the base of a new epoch."""
+        epoch = self._epoch()
+        if epoch is not None and self._pending(epoch):
+            self.read().write.mode("overwrite").parquet(f"{self.path}/epoch-{epoch + 1}/base")
+
+    def vacuum(self) -> None:
+        """Delete the epochs that neither readers nor a repeated batch need: all before the last but one."""
+        epoch = self._epoch() or 0
+        for found in matching(self.spark, f"{self.path}/epoch-*"):
+            if int(found.rsplit("-", 1)[1]) < epoch - 1:
+                remove(self.spark, found)
+
+    def _epoch(self) -> int | None:
+        found = matching(self.spark, f"{self.path}/epoch-*/base/_SUCCESS")
+        return max((int(re.search(r"/epoch-(\d+)/base/", p)[1]) for p in found), default=None)
+
+    def _pending(self, epoch: int) -> list[str]:
+        found = matching(self.spark, f"{self.path}/epoch-{epoch}/changes/*/_SUCCESS")
+        return [p.removesuffix("/_SUCCESS") for p in found]
+
+    @staticmethod
+    def _number(path: str) -> int:
+        return int(re.search(r"/(\d+)-[^/]*$", path)[1])
