@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.dedup import split_null_keys
+from tidemark.operators.dedup import latest_per_key, split_null_keys
 
 MODES = ("last_write", "newest")
 
@@ -26,9 +26,9 @@ def upsert(
     whose ``ts`` is greater. NULL never matches NULL: source rows with a NULL in
     the key are dropped, or inserted again with ``null_keys="append"``.
 
-    All joins are on unique keys, so they cannot skew, and Spark broadcasts the
-    source by itself when its measured size allows: then the target is not
-    shuffled at all.
+    ``last_write`` joins on unique keys, which cannot skew, and Spark broadcasts
+    the source by itself when its measured size allows: then the target is not
+    shuffled at all. ``newest`` reads and shuffles each side once.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -40,13 +40,13 @@ def upsert(
     if mode == "newest":
         if ts is None:
             raise ValueError("mode 'newest' needs ts")
-        held = keyed.select(*ids, F.col(ts).alias("_held"))
-        stale = (
-            held.join(incoming.select(*ids, F.col(ts).alias("_new")), ids)
-            .where(F.coalesce(F.col("_held") > F.col("_new"), F.col("_held").isNotNull()))
-            .select(*ids)
-        )
-        incoming = incoming.join(stale, ids, "left_anti")
+        # One pass over both: the later row wins, and of equal times the incoming one.
+        side = "_side"
+        while side in target.columns:
+            side += "_"
+        both = keyed.withColumn(side, F.lit(0)).unionByName(incoming.withColumn(side, F.lit(1)))
+        latest = latest_per_key(both, ids, [ts, side]).select(*target.columns).unionByName(unkeyed)
+        return latest.unionByName(loose) if null_keys == "append" else latest
     merged = (
         keyed.join(incoming.select(*ids), ids, "left_anti")
         .select(*target.columns)
