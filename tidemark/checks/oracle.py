@@ -4,13 +4,29 @@ from __future__ import annotations
 
 import dataclasses
 
-from tidemark.checks.queries import DAILY, DATES, MONTHLY, ROLE_FLAGS, YEARLY
 from tidemark.checks.views import OWN
-from tidemark.functions.dates import DateRange
 from tidemark.plans import catalogue as cat
 from tidemark.plans import feature_spec as fs
 from tidemark.plans.feature_spec import FeatureSpec
 
+# The dates of the checks, spelled out so that no date rule of the library decides what is right.
+DATES = {None: "1999-06-01", 12: "1999-06-01", 60: "2001-06-01", 120: "2008-06-01"}
+
+
+def _series(first: str, last: str, step: str) -> str:
+    return f"""SELECT CAST(d AS DATE) AS refDay
+  FROM generate_series(TIMESTAMP '{first}', TIMESTAMP '{last}', INTERVAL {step}) s(d)"""
+
+
+DAILY = _series("1999-05-20", "1999-06-10", "1 DAY")
+MONTHLY = _series("1998-12-01", "2000-03-01", "1 MONTH")
+YEARLY = _series("1996-01-01", "2001-01-01", "1 YEAR")
+ROLE_FLAGS = {
+    "qtdeDeveloper": "flDeveloper",
+    "qtdePublisher": "flPublisher",
+    "qtdeBoth": "flDeveloper AND flSupporting",
+}
+
 CREDITS = """SELECT l_suppkey AS idCompany, l_orderkey AS idGame, l_returnflag = 'R' AS flDeveloper,
   l_linestatus = 'F' AS flPorting, l_returnflag = 'A' AS flPublisher, l_linestatus = 'O' AS flSupporting
   FROM lineitem"""
@@ -23,13 +39,13 @@ ITEMS = f"""SELECT o_orderkey AS idGame, o_orderdate AS dtRelease,
   floor(o_totalprice) AS vlRatingTotal, o_custkey AS qtdeRatingTotal FROM orders"""
 
 BRAND = "CAST(substring(p_brand, 7, 2) AS BIGINT)"
-BRAND_BRIDGE = f"""SELECT l_orderkey AS idGame, {BRAND} AS tag FROM lineitem JOIN part ON l_partkey = p_partkey
-  WHERE p_type <> 'PROMO'"""
+BRAND_BRIDGE = f"""SELECT l_orderkey AS idGame, CASE WHEN p_type <> 'PROMO' THEN {BRAND} END AS tag
+  FROM lineitem JOIN part ON l_partkey = p_partkey"""
 
 
 def _brand_dim(column: str, values: list[str]) -> str:
     listed = ", ".join(fs.text(v) for v in values)
-    return f"SELECT n_nationkey + 1 AS tag, [{listed}][n_nationkey + 1] AS {column} FROM nation WHERE n_nationkey < {len(values)}"
+    return f"SELECT n_nationkey + 1 AS tag, [{listed}][n_nationkey + 1] AS {column} FROM nation"
 
 
 TAGS = {
@@ -91,22 +107,12 @@ def _features(spec: FeatureSpec, date: str) -> str:
     )
 
 
-def _dates(dates: DateRange) -> str:
-    every = {"daily": "1 DAY", "monthly": "1 MONTH", "yearly": "1 YEAR"}[dates.period]
-    return (
-        f"SELECT CAST(d AS DATE) AS refDay FROM generate_series(TIMESTAMP '{dates.first}', "
-        f"TIMESTAMP '{dates.last}', INTERVAL {every}) s(d)"
-    )
-
-
-def _backfill(spec: FeatureSpec, dates: DateRange, columns_only: list[str] | None = None) -> str:
+def _backfill(spec: FeatureSpec, dates: str) -> str:
     columns = ", t.* EXCLUDE (tag)" if spec.tag else ""
-    outputs = ", ".join(
-        _output(f, "refDay") for f in spec.features if columns_only is None or f.name in columns_only
-    )
+    outputs = ", ".join(_output(f, "refDay") for f in spec.features)
     return (
         f"SELECT idCompany, strftime(refDay, '%Y-%m-%d') AS dtRef, {outputs} "
-        f"FROM ({_facts(spec, columns)}) f JOIN ({_dates(dates)}) d ON {_window(spec, 'refDay')} "
+        f"FROM ({_facts(spec, columns)}) f JOIN ({dates}) d ON {_window(spec, 'refDay')} "
         "GROUP BY idCompany, refDay"
     )
 
@@ -126,11 +132,7 @@ def _flags(share: bool) -> str:
     for name, predicate in ROLE_FLAGS.items():
         count = f"count(DISTINCT CASE WHEN {predicate} THEN idGame END)"
         outputs.append(f"{count}{' / count(DISTINCT idGame)' if share else ''} AS {name}")
-    day = _day(DATES[12])
-    return (
-        f"SELECT idCompany, {', '.join(outputs)} FROM ({CREDITS}) c JOIN ({ITEMS}) i USING (idGame) "
-        f"WHERE dtRelease < {day} AND dtRelease >= {day} - INTERVAL 1 YEAR GROUP BY idCompany"
-    )
+    return f"SELECT idCompany, {', '.join(outputs)} FROM ({CREDITS}) c JOIN ({ITEMS}) i USING (idGame) GROUP BY idCompany"
 
 
 # --- landing tables ---------------------------------------------------------------
@@ -233,7 +235,7 @@ LAST_WRITE = f"""WITH o AS ({OLD}), n AS ({NEW})
   SELECT * FROM o UNION ALL SELECT * FROM n WHERE user_id NOT IN (SELECT user_id FROM o)"""
 NEWEST = LATEST.format(where="true")
 
-EVENT_LANDING = """SELECT event_id AS id, user_id AS "user", event_type AS kind, value, epoch_us(ts) AS updated_at
+EVENT_LANDING = """SELECT event_id AS id, user_id AS "user", event_type AS kind, value, props, epoch_us(ts) AS updated_at
   FROM events"""
 
 ORDERS_BY_MONTH = "SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m') AS dtRef FROM orders"
@@ -258,14 +260,23 @@ def _month_ends(start: str, stop: str) -> str:
 
 
 def _composite() -> str:
-    def total(flag: str) -> str:
-        return f"""SELECT l_orderkey, l_linenumber, round(sum(l_quantity), 2) AS qty, '{flag}' AS flag
-  FROM lineitem WHERE l_returnflag = '{flag}' GROUP BY l_orderkey, l_linenumber"""
+    def total(which: str) -> str:
+        return f"""SELECT l_orderkey, l_linenumber, round(sum(l_quantity), 2) AS qty, max(l_returnflag) AS flag
+  FROM lineitem WHERE l_returnflag {which} 'R' GROUP BY l_orderkey, l_linenumber"""
 
-    return f"""WITH t AS ({total('A')}), s AS ({total('R')})
+    return f"""WITH t AS ({total('<>')}), s AS ({total('=')})
   SELECT * FROM s UNION ALL SELECT t.* FROM t ANTI JOIN s USING (l_orderkey, l_linenumber)"""
 
 
+def _projected(spec: FeatureSpec, date: str) -> str:
+    """The features as they are exported: whole numbers as they are, others in single precision."""
+    def column(f: fs.Feature) -> str:
+        single = f'round(CAST(CAST("{f.name}" AS FLOAT) AS DOUBLE), 5) AS "{f.name}"'
+        return single if f.kind in (fs.FLAG_SHARE, fs.AVG0) else f'"{f.name}"'
+
+    return f"SELECT idCompany, dtRef, {', '.join(column(f) for f in spec.features)} FROM ({_features(spec, date)})"
+
+
 def oracle_sql() -> dict[str, str]:
     sets = cat.feature_sets(OWN)
     out: dict[str, str] = {}
@@ -279,7 +290,6 @@ def oracle_sql() -> dict[str, str]:
     themes = sets["company_themes"]
     counted = dataclasses.replace(themes, features=cat.theme_features(count_untagged=True))
     five, day = sets["company_platform_05_years"], _day(DATES[60])
-    yearly = ["qtdeGamesInvolved01Years", "qtdeDaysLastRelease01Years"]
     out |= {
         "feature_share_theme_counted": _features(counted, DATES[None]),
         "flag_counts": _flags(share=False),
@@ -308,7 +318,7 @@ def oracle_sql() -> dict[str, str]:
         "keyed_table_newest": NEWEST,
         "stream_upsert": NEWEST,
         "landing_json_roundtrip": EVENT_LANDING,
-        "bronze_process_full": f"""SELECT id, "user", kind, value, updated_at FROM (SELECT *, row_number()
+        "bronze_process_full": f"""SELECT id, "user", kind, value, props, updated_at, true AS ingestion_at FROM (SELECT *, row_number()
   OVER (PARTITION BY "user" ORDER BY updated_at DESC) AS rn FROM ({EVENT_LANDING})) WHERE rn = 1""",
         "backfill_daily": _backfill(sets["company_general"], DAILY),
         "backfill_monthly": _backfill(sets["company_general_01_years"], MONTHLY),
@@ -326,14 +336,10 @@ def oracle_sql() -> dict[str, str]:
         "asof_events": _asof_events(""),
         "asof_events_max_age": _asof_events(" AND b.ts - v.seen <= INTERVAL 2 DAY"),
         "asof_features": f"""WITH f AS (SELECT *, CAST(dtRef AS TIMESTAMP) AS refTime FROM
-  ({_backfill(sets["company_general_01_years"], YEARLY, yearly)})),
+  ({_backfill(sets["company_general_01_years"], YEARLY)})),
   s AS (SELECT s_suppkey AS idCompany, event_timestamp FROM supplier, ({_month_ends('1995-06-01', '2002-06-30')}))
-  SELECT s.idCompany, s.event_timestamp, f.dtRef, {', '.join(f'f.{c}' for c in yearly)}
+  SELECT s.idCompany, s.event_timestamp, f.* EXCLUDE (idCompany, refTime)
   FROM s ASOF LEFT JOIN f ON s.idCompany = f.idCompany AND s.event_timestamp >= f.refTime""",
-        "feature_projection": "SELECT idCompany, dtRef, qtdeConsole05Years, round(CAST(CAST(share AS FLOAT) AS DOUBLE), 5) "
-        "AS pctConsole05Years FROM (SELECT idCompany, '" + DATES[60] + "' AS dtRef, count(DISTINCT CASE WHEN "
-        "descCategory = 'console' THEN idGame END) AS qtdeConsole05Years, count(DISTINCT CASE WHEN descCategory = "
-        f"'console' THEN idGame END) / count(DISTINCT idGame) AS share FROM ({_facts(five, ', t.* EXCLUDE (tag)')}) f "
-        f"WHERE {_window(five, day)} GROUP BY idCompany)",
+        "feature_projection": _projected(five, DATES[60]),
     }
     return out

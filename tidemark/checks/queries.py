@@ -76,8 +76,7 @@ def _backfill_query(name: str, dates: DateRange) -> Query:
 
 
 def _released_credits(s: Sample) -> DataFrame:
-    items = trailing(s.items(), "dtRelease", DATES[12], 12).select("idGame", "dtRelease")
-    return attach_items(s.credits(), items, "idGame")
+    return attach_items(s.credits(), s.items().select("idGame", "dtRelease"), "idGame")
 
 
 ROLE_FLAGS = {
@@ -196,11 +195,11 @@ def _upsert_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = Sample(spark, sf_dir).table("lineitem")
     keys = ["l_orderkey", "l_linenumber"]
 
-    def total(flag: str) -> DataFrame:
-        rows = lines.where(F.col("l_returnflag") == flag)
-        return rows.groupBy(*keys).agg(F.round(F.sum("l_quantity"), 2).alias("qty"), F.lit(flag).alias("flag"))
+    def total(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.round(F.sum("l_quantity"), 2).alias("qty"), F.max("l_returnflag").alias("flag"))
 
-    return upsert(total("A"), total("R"), keys)
+    returned = F.col("l_returnflag") == "R"
+    return upsert(total(lines.where(~returned)), total(lines.where(returned)), keys)
 
 
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -236,6 +235,7 @@ def _landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("user"),
         F.col("event_type").alias("kind"),
         F.col("value"),
+        F.col("props"),
         F.unix_micros(F.col("ts").cast("timestamp")).alias("updated_at"),
     )
 
@@ -245,7 +245,7 @@ def _landing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     _landing_rows(spark, sf_dir).write.json(landing)
     inferred = resolve_schema(spark, landing, multiLine="false")
     return read_landing(spark, landing, schema=inferred, multiLine="false").select(
-        "id", "user", "kind", "value", "updated_at"
+        "id", "user", "kind", "value", "props", "updated_at"
     )
 
 
@@ -253,7 +253,8 @@ def _process_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = shared_dir(spark, "full")
     _landing_rows(spark, sf_dir).write.parquet(f"{home}/landing")
     process_full(spark, f"{home}/landing", f"{home}/table", ["user"], "updated_at", fmt="parquet")
-    return read_table(spark, f"{home}/table").drop("ingestion_at")
+    stamped = F.col("ingestion_at").isNotNull()
+    return read_table(spark, f"{home}/table").withColumn("ingestion_at", stamped)
 
 
 # --- partitioned feature tables ---------------------------------------------------
@@ -316,9 +317,7 @@ def _asof_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "features")
     features = backfill_features(s.credits(), s.items(), spec, YEARLY)
     write_backfill(features, path, YEARLY)
-    feats = read_table(spark, path, features.schema).select(
-        "idCompany", "dtRef", "qtdeGamesInvolved01Years", "qtdeDaysLastRelease01Years"
-    )
+    feats = read_table(spark, path, features.schema)
     ids = s.table("supplier").select(F.col("s_suppkey").alias("idCompany"))
     return asof_join(spine(ids, month_ends("1995-06-01", "2002-06-30")), feats, "idCompany", "event_timestamp", "dtRef")
 
@@ -332,8 +331,8 @@ def _backfill_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, spec = Sample(spark, sf_dir), cat.feature_sets(OWN)["company_platform_05_years"]
     feats = build_features(s.credits(), s.items(), spec, DATES[60], s.tags(spec.tag))
-    out = feature_projection(feats.select("idCompany", "dtRef", "qtdeConsole05Years", "pctConsole05Years"))
-    return out.withColumn("pctConsole05Years", F.round(F.col("pctConsole05Years").cast("double"), 5))
+    out = feature_projection(feats)
+    return out.withColumns({c: F.round(F.col(c).cast("double"), 5) for c, kind in out.dtypes if kind == "float"})
 
 
 def queries() -> dict[str, Query]:

@@ -53,19 +53,20 @@ class Sample:
         )
 
     def _brand_bridge(self, tag: str) -> DataFrame:
-        part = self.table("part").where(F.col("p_type") != "PROMO")
+        """Brands of an order's parts; parts of type PROMO have none."""
         return (
             self.table("lineitem")
-            .join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .select(F.col("l_orderkey").alias("idGame"), _brand().alias(tag))
+            .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+            .select(F.col("l_orderkey").alias("idGame"), F.when(F.col("p_type") != "PROMO", _brand()).alias(tag))
         )
 
     def _brand_dim(self, tag: str, name: str, values: list[str]) -> DataFrame:
-        """Brands have the numbers 1 to 25, one more than the nations: those lend the labels a table."""
-        labels = F.array(*[F.lit(v) for v in values])
-        brands = self.table("nation").where(F.col("n_nationkey") < len(values))
-        number = F.col("n_nationkey") + 1
-        return brands.select(number.cast("long").alias(tag), F.element_at(labels, number).alias(name))
+        """Brands have the numbers 1 to 25, one more than the nations: those lend the labels a table.
+
+        Nations beyond the labels have none.
+        """
+        labels, nation = F.array(*[F.lit(v) for v in values]), F.col("n_nationkey")
+        return self.table("nation").select((nation + 1).cast("long").alias(tag), F.get(labels, nation.cast("int")).alias(name))
 
     def tags(self, tag: str | None) -> tuple[DataFrame, DataFrame] | None:
         if tag is None:
