@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from tidemark.functions.dates import DateRange
 from tidemark.plans import catalogue as cat
 from tidemark.plans.medallion import (
+    Ingest,
     BackfillJob,
     feature_inputs,
     ingest_stream,
@@ -18,7 +19,7 @@ from tidemark.plans.medallion import (
     silver_tables,
 )
 from tidemark.operators.features import backfill_features, build_features
-from tidemark.sources import load_schema, read_landing, read_table, resolve_schema, save_schema
+from tidemark.sources import load_schema, read_accounted, read_landing, read_table, resolve_schema, save_schema
 from tidemark.streaming import run_available, stream_landing
 
 DAY = 86400
@@ -132,8 +133,8 @@ def test_schema_resolution(spark, landing, tmp_path):
     assert "slug" in inferred.names
     file = str(tmp_path / "genres.json")
     assert resolve_schema(spark, path, declared=file) == inferred  # no file yet: inferred
-    save_schema(declared, file)
-    assert load_schema(file) == declared and resolve_schema(spark, path, declared=file) == declared
+    save_schema(spark, declared, file)
+    assert load_schema(spark, file) == declared and resolve_schema(spark, path, declared=file) == declared
 
 
 def test_error_page_gives_one_null_row(spark, tmp_path):
@@ -159,14 +160,37 @@ def test_stream_is_incremental_and_idempotent(spark, tmp_path, rows):
     # A lost checkpoint re-reads everything: the same keys, each once.
     again = ingest_stream(spark, str(source), path, "genres", checkpoint=str(tmp_path / "check2"))
     assert rows(again.read(), "id") == [(1,), (2,), (3,)]
+    # The error page has no key: it is put aside, not dropped.
+    assert spark.read.parquet(f"{path}_rejects/*").where("id is null").count() >= 1
+
+
+def test_a_backlog_is_taken_in_several_batches(spark, tmp_path, rows):
+    source = tmp_path / "genres"
+    for i in range(3):
+        page(source, str(i), [{"id": 1, "name": f"v{i}", "updated_at": i}, {"id": 10 + i, "name": "x", "updated_at": 1}])
+    how = Ingest(mode="newest", options={"maxFilesPerTrigger": "1"})
+    table = ingest_stream(spark, str(source), str(tmp_path / "t"), "genres", how=how)
+    assert rows(table.read(), "id", "name") == [(1, "v2"), (10, "x"), (11, "x"), (12, "x")]
+
+
+def test_unreadable_pages_are_accounted_for(spark, tmp_path, rows):
+    source = tmp_path / "genres"
+    page(source, "1", [{"id": 1, "name": "a"}])
+    (source / "2.json").write_text('[{"id": 2, "name": "b"}, {"id": 3, "na')
+    good, bad = read_accounted(spark, str(source), "id long, name string")
+    assert rows(good) == [(1, "a")]
+    (found,) = bad.collect()
+    assert found.file.endswith("/2.json") and '"id": 2' in found.record
+    with pytest.raises(ValueError):
+        read_accounted(spark, str(source), "_corrupt_record string")
 
 
 def test_newest_mode_keeps_the_newer_row(spark, tmp_path, rows):
     source = tmp_path / "genres"
     page(source, "1", [{"id": 1, "name": "new", "updated_at": 9}])
-    ingest_stream(spark, str(source), str(tmp_path / "t"), "genres", "newest")
+    ingest_stream(spark, str(source), str(tmp_path / "t"), "genres", how=Ingest(mode="newest"))
     page(source, "2", [{"id": 1, "name": "late", "updated_at": 3}])
-    table = ingest_stream(spark, str(source), str(tmp_path / "t"), "genres", "newest")
+    table = ingest_stream(spark, str(source), str(tmp_path / "t"), "genres", how=Ingest(mode="newest"))
     assert rows(table.read(), "id", "name") == [(1, "new")]
     assert (tmp_path / "genres_genres_checkpoint").is_dir()
 

@@ -318,6 +318,10 @@ def oracle_sql() -> dict[str, str]:
         "keyed_table_newest": NEWEST,
         "stream_upsert": NEWEST,
         "landing_json_roundtrip": EVENT_LANDING,
+        "landing_bad_records": f"""SELECT id, "user", kind, value, updated_at, NULL::VARCHAR AS rest
+  FROM ({EVENT_LANDING}) WHERE id % 50 <> 0
+  UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, substr('{{"id":' || id || ',"user":' || "user", 1, 12)
+  FROM ({EVENT_LANDING}) WHERE id % 50 = 0""",
         "bronze_process_full": f"""SELECT id, "user", kind, value, props, updated_at, true AS ingestion_at FROM (SELECT *, row_number()
   OVER (PARTITION BY "user" ORDER BY updated_at DESC) AS rn FROM ({EVENT_LANDING})) WHERE rn = 1""",
         "backfill_daily": _backfill(sets["company_general"], DAILY),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -15,7 +15,7 @@ from tidemark.operators.shape import explode_bridge, sorted_entity, stamp
 from tidemark.plans import catalogue as cat
 from tidemark.plans.feature_spec import FeatureSpec
 from tidemark.sinks.keyed_table import KeyedTable
-from tidemark.sinks.storage import shared_dir
+from tidemark.sinks.storage import remove, shared_dir
 from tidemark.sinks.tables import save_full, write_backfill
 from tidemark.sources.landing import read_landing, resolve_schema
 from tidemark.sources.tables import read_table
@@ -41,19 +41,40 @@ def process_full(
     save_full(out, path, partition_by)
 
 
+@dataclass(frozen=True)
+class Ingest:
+    """How an endpoint's landing files are read and which row of a key is kept."""
+
+    ids: tuple[str, ...] = tuple(cat.KEY)
+    ts: str = cat.VERSION
+    mode: str = "last_write"
+    tie: tuple[str, ...] = ()
+    fmt: str = "json"
+    options: Mapping[str, str] = field(default_factory=dict)
+
+
 def ingest_stream(
     spark: SparkSession,
     landing: str,
     path: str,
     endpoint: str,
-    mode: str = "last_write",
     schema: T.StructType | str | None = None,
     checkpoint: str | None = None,
+    how: Ingest = Ingest(),
+    rejects: str | None = None,
 ) -> KeyedTable:
-    """Upsert the new landing files of an endpoint into its keyed table."""
-    declared = resolve_schema(spark, landing, declared=schema or cat.LANDING_SCHEMAS.get(endpoint))
-    table = KeyedTable(spark, path, declared, cat.KEY, cat.VERSION, mode)
-    stream = stream_landing(spark, landing, declared)
+    """Upsert the new landing files of an endpoint into its keyed table.
+
+    ``how.options`` are the reader's, such as ``maxFilesPerTrigger`` to take a
+    backlog in several batches. Rows without a complete key, which is what an
+    unreadable page becomes, go to ``rejects`` (by default beside the table).
+    """
+    declared = resolve_schema(
+        spark, landing, how.fmt, declared=schema or cat.LANDING_SCHEMAS.get(endpoint), **how.options
+    )
+    rejects = rejects or f"{path.rstrip('/')}_rejects"
+    table = KeyedTable(spark, path, declared, list(how.ids), how.ts, how.mode, how.tie, rejects)
+    stream = stream_landing(spark, landing, declared, how.fmt, **how.options)
     upsert_stream(stream, table, checkpoint or checkpoint_for(landing, endpoint))
     return table
 
@@ -163,3 +184,4 @@ def run_backfill_kind(
     for name, spec in sets.items():
         table = window_table(read_table(spark, staged, features.schema), spec)
         write_backfill(table, paths[name], dates, spec.ref)
+    remove(spark, staged)

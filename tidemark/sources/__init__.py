@@ -1,6 +1,7 @@
 from tidemark.sources.landing import (
     incremental_extract,
     load_schema,
+    read_accounted,
     read_landing,
     resolve_schema,
     save_schema,
@@ -10,6 +11,7 @@ from tidemark.sources.tables import read_partition, read_table
 __all__ = [
     "incremental_extract",
     "load_schema",
+    "read_accounted",
     "read_landing",
     "read_partition",
     "read_table",

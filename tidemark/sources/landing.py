@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.sinks.storage import exists, read_text, write_text
+
 # A page is one JSON array over several lines.
 LANDING_OPTIONS = {"json": {"multiLine": "true"}}
 
@@ -37,7 +38,7 @@ def resolve_schema(
         return declared
     if declared is not None:
         if declared.endswith(".json"):
-            saved = load_schema(declared)
+            saved = load_schema(spark, declared)
             if saved is not None:
                 return saved
         else:
@@ -45,14 +46,39 @@ def resolve_schema(
     return read_landing(spark, path, fmt, **options).schema
 
 
-def save_schema(schema: T.StructType, file: str) -> None:
-    """Freeze a schema in a JSON file next to the job's configuration."""
-    Path(file).write_text(json.dumps(schema.jsonValue(), indent=2))
+def save_schema(spark: SparkSession, schema: T.StructType, file: str) -> None:
+    """Freeze a schema in a JSON file, on any file system that Spark reaches."""
+    write_text(spark, file, json.dumps(schema.jsonValue(), indent=2))
+
+
+def load_schema(spark: SparkSession, file: str) -> T.StructType | None:
+    """The schema of a file, None if there is none."""
+    return T.StructType.fromJson(json.loads(read_text(spark, file))) if exists(spark, file) else None
+
+
+CORRUPT = "_corrupt_record"
+
 
+def read_accounted(
+    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "json", **options: str
+) -> tuple[DataFrame, DataFrame]:
+    """(rows that were read, records or pages that could not be: what could be read of them, file and raw text).
 
-def load_schema(file: str) -> T.StructType | None:
-    source = Path(file)
-    return T.StructType.fromJson(json.loads(source.read_text())) if source.exists() else None
+    Records that do not parse would otherwise come back as rows of NULLs, or not
+    at all. Keep the second table, and repair and load its files again.
+    """
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if CORRUPT in kind.names:
+        raise ValueError(f"the column name {CORRUPT} is taken")
+    kind = T.StructType([*kind.fields, T.StructField(CORRUPT, T.StringType())])
+    rows = read_landing(
+        spark, path, fmt, kind, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **options
+    ).withColumn("_file", F.input_file_name())
+    bad = rows.where(F.col(CORRUPT).isNotNull())
+    # Spark refuses to read the raw text of a file alone, hence the other columns.
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file"), bad.withColumnsRenamed(
+        {"_file": "file", CORRUPT: "record"}
+    )
 
 
 def incremental_extract(df: DataFrame, ts_col: str, cutoff: Column) -> DataFrame:
