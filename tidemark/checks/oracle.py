@@ -277,6 +277,27 @@ def _projected(spec: FeatureSpec, date: str) -> str:
     return f"SELECT idCompany, dtRef, {', '.join(column(f) for f in spec.features)} FROM ({_features(spec, date)})"
 
 
+def _chain(spec: FeatureSpec, date: str) -> str:
+    """The features over the entity tables instead of the sample views; ratings there are not whole numbers."""
+    silver = _silver()
+    columns = ", ".join(
+        f'round({_output(f, _day(date)).rsplit(" AS ", 1)[0]}, 6) AS "{f.name}"'
+        if f.kind in (fs.FLAG_SHARE, fs.AVG0)
+        else _output(f, _day(date))
+        for f in spec.features
+    )
+    credits = f"""SELECT * FROM ({silver["silver_involved_companies"]}) QUALIFY row_number() OVER (
+  PARTITION BY idCompanyGame
+  ORDER BY dtUpdated DESC, idCompany DESC, flDeveloper DESC, flPorting DESC, flPublisher DESC, flSupporting DESC) = 1"""
+    facts = f"""SELECT c.* EXCLUDE (idCompanyGame, dtCreated, dtUpdated),
+  i.* EXCLUDE (idGame, dtCreated, dtUpdated) REPLACE (CAST(i.dtRelease AS TIMESTAMP) AS dtRelease)
+  FROM ({credits}) c JOIN ({silver["silver_games"]}) i ON c.idGame = i.idGame"""
+    return (
+        f"SELECT idCompany, '{date}' AS dtRef, {columns} FROM ({facts}) f "
+        f"WHERE {_window(spec, _day(date))} GROUP BY idCompany"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     sets = cat.feature_sets(OWN)
     out: dict[str, str] = {}
@@ -322,6 +343,7 @@ def oracle_sql() -> dict[str, str]:
   FROM ({EVENT_LANDING}) WHERE id % 50 <> 0
   UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, substr('{{"id":' || id || ',"user":' || "user", 1, 12)
   FROM ({EVENT_LANDING}) WHERE id % 50 = 0""",
+        "chain_landing_to_features": _chain(sets["company_general_05_years"], DATES[60]),
         "bronze_process_full": f"""SELECT id, "user", kind, value, props, updated_at, true AS ingestion_at FROM (SELECT *, row_number()
   OVER (PARTITION BY "user" ORDER BY updated_at DESC) AS rn FROM ({EVENT_LANDING})) WHERE rn = 1""",
         "backfill_daily": _backfill(sets["company_general"], DAILY),
