@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import cut, fresh, join_counted
 
@@ -24,6 +24,8 @@ MARGINS = ("source", "lang", "topic")
 # Targets by default: each share in proportion to tokens to this power.
 FLATTEN = {"source": 0.5, "lang": 0.5, "topic": 0.7}
 FRACTION = 0.5
+# Tokens are estimated from the bytes of a text.
+BYTES_PER_TOKEN = 4.0
 MAX_SWEEPS = 20
 TOLERANCE = 1e-4
 # Up to so many cells, their table is broadcast (about 100 bytes each).
@@ -38,24 +40,20 @@ TOPICS = {
 GENERAL = "general"
 
 
-def _one_of(stems: tuple[str, ...]):
-    return lambda hit: hit.isin(*stems)
-
-
-def _topic(text, topics: Mapping[str, tuple[str, ...]]):
-    """The topic with the most stems in the text, the first listed of equals."""
-    stems = "|".join(s for some in topics.values() for s in some)
-    hits = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?i)({stems})"), F.lit(0)), F.lower)
-    counts = [
-        F.struct(
-            F.size(F.filter(hits, _one_of(some))).alias("n"),
-            F.lit(-i).alias("order"),
-            F.lit(name).alias("topic"),
-        )
-        for i, (name, some) in enumerate(topics.items(), 1)
-    ]
-    best = F.array_max(F.array(*counts, F.struct(F.lit(0).alias("n"), F.lit(0).alias("order"), F.lit(GENERAL).alias("topic"))))
-    return best["topic"]
+def _topic(text: Column, topics: Mapping[str, tuple[str, ...]]) -> Column:
+    """The topic whose stems occur most often in the text, the first listed of equals."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    ranked = [F.struct(F.lit(0).alias("n"), F.lit(0).alias("order"), F.lit(GENERAL).alias("topic"))]
+    for i, (name, stems) in enumerate(topics.items(), 1):
+        # Occurrences by what is missing without them: no expression runs over the text.
+        counts = [
+            (F.octet_length(low) - F.octet_length(F.replace(low, F.lit(s)))) / len(s.encode()) for s in stems
+        ]
+        total = sum(counts[1:], counts[0]).cast("int")
+        # Ranked behind "general" without any.
+        order = F.when(total > 0, -i).otherwise(-len(topics) - i)
+        ranked.append(F.struct(total.alias("n"), order.alias("order"), F.lit(name).alias("topic")))
+    return F.greatest(*ranked)["topic"]
 
 
 def _facts(docs: DataFrame, text_col: str, source_col: str, lang_col: str, topics, names: dict[str, str]) -> DataFrame:
@@ -66,7 +64,7 @@ def _facts(docs: DataFrame, text_col: str, source_col: str, lang_col: str, topic
             names["source"]: F.coalesce(F.col(source_col).cast("string"), F.lit("")),
             names["lang"]: F.coalesce(F.col(lang_col).cast("string"), F.lit("")),
             names["topic"]: _topic(text, topics),
-            names["tokens"]: F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long"),
+            names["tokens"]: F.coalesce(F.ceil(F.octet_length(text) / BYTES_PER_TOKEN), F.lit(0)).cast("long"),
         }
     )
 
@@ -166,6 +164,7 @@ def mix(
     fraction: float = FRACTION,
     topics: Mapping[str, tuple[str, ...]] = TOPICS,
     seed: str = "mix",
+    max_sweeps: int = MAX_SWEEPS,
 ) -> DataFrame:
     """``docs`` with all its columns and topic, tokens, weight, probability, sampled (named anew where taken).
 
@@ -181,7 +180,7 @@ def mix(
         .groupBy(*MARGINS)
         .agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs"))
     )
-    odds = cut(calibrate(rake(cells, targets), fraction))
+    odds = cut(calibrate(rake(cells, targets, max_sweeps), fraction))
     extra = {n: fresh(docs, n) for n in ("topic", "weight", "probability", "sampled")}
     count = fresh(docs, "_docs")
     known = odds.select(
