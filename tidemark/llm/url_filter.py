@@ -89,20 +89,21 @@ def reputations(outcomes: DataFrame, least_good: float = LEAST_GOOD, z: float =
             }
         )
     )
-    domains = cut(hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("good").alias("good")))
-    suffixes = cut(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good")))
+    sums = F.sum("n").alias("n"), F.sum("good").alias("good"), F.count("*").alias("children")
+    domains = cut(hosts.groupBy("suffix", "domain").agg(*sums))
+    suffixes = cut(domains.groupBy("suffix").agg(*sums))
     all_ = suffixes.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
     overall = ((all_.good or 0) + 1) / ((all_.n or 0) + 2)
 
     def shrunk(children: DataFrame, key: str, parent: str, p: str, name: str) -> DataFrame:
         m = _strength(children, parent, p)
         rate = (F.col("good") + F.col(p) * m) / (F.col("n") + m)
-        return children.select(key, rate.alias(name))
+        return children.select(key, rate.alias(name), F.col("children").alias("met"))
 
     rates = shrunk(suffixes.withColumn("p0", F.lit(overall)).withColumn("root", F.lit(0)), "suffix", "root", "p0", "p1")
-    met = cut(domains.join(rates, "suffix"))
+    met = cut(join_counted(domains, rates, ["suffix"], "met", F.col("domain")).drop("met"))
     rates = shrunk(met, "domain", "suffix", "p1", "p2")
-    met = cut(join_counted(hosts, rates.join(hosts.groupBy("domain").agg(F.count("*").alias("hosts")), "domain"), ["domain"], "hosts", F.col("host")))
+    met = cut(join_counted(hosts, rates, ["domain"], "met", F.col("host")))
     m = _strength(met, "domain", "p2")
     a = F.col("good") + F.col("p2") * m
     b = F.col("n") - F.col("good") + (1 - F.col("p2")) * m
