@@ -63,18 +63,26 @@ class Model:
             totals = sum(table.values(), np.full(len(self.langs), _SMOOTH))
             self.levels.append({g: np.log(c / totals) for g, c in table.items()})
             self.floor.append(np.log(_SMOOTH / totals))
-        self.cache: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Empty the table of words met so far: the row of each and the rows."""
+        self.row: dict[str, int] = {}
+        self.rows = np.zeros((1024, len(self.langs)))
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": {}}
+        return {k: v for k, v in self.__dict__.items() if k not in ("row", "rows")}
+
+    def __setstate__(self, state):
+        self.__dict__ |= state
+        self._forget()
 
-    def word(self, word: str) -> np.ndarray:
-        known = self.cache.get(word)
-        if known is None:
-            if len(self.cache) >= _CACHE:
-                self.cache.clear()
-            known = self.cache[word] = self._back_off(word)
-        return known
+    def _learn_rows(self, words: list[str]) -> None:
+        for w in words:
+            if len(self.row) == len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[len(self.row)] = self._back_off(w)
+            self.row[w] = len(self.row)
 
     def _back_off(self, word: str) -> np.ndarray:
         if (found := self.levels[0].get(word)) is not None:
@@ -90,9 +98,11 @@ class Model:
         found = words(text)
         if not found or not self.langs:
             return UNKNOWN, 0.0
-        total = np.zeros(len(self.langs))
-        for w, n in Counter(found).items():
-            total = total + n * self.word(w)
+        seen = Counter(found)
+        if len(self.row) > _CACHE:
+            self._forget()
+        self._learn_rows([w for w in seen if w not in self.row])
+        total = np.fromiter(seen.values(), float, len(seen)) @ self.rows[[self.row[w] for w in seen]]
         best = int(total.argmax())
         return self.langs[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum())
 
