@@ -34,7 +34,7 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample with raked weights of sources, languages and topics; adds topic, tokens, weight and probability."""
-    return mixed_sample(docs)
+    return mixed_sample(docs, words=True)
 
 
 STAGES = [

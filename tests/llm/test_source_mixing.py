@@ -3,7 +3,9 @@ from collections import defaultdict
 
 import pytest
 
+import corpus_pipeline
 from tests.llm import edges
+from tidemark.llm import registry
 from tidemark.llm.source_mixing import FLATTEN, MARGINS, mix, mixed_sample
 
 
@@ -88,3 +90,14 @@ def test_given_targets(spark):
 
 def test_empty(spark):
     assert mix(edges.empty(spark)).collect() == [] == mixed_sample(edges.empty(spark)).collect()
+
+
+def test_registered_query_and_stage_count_words(spark, tmp_path):
+    texts = ["a bb  ccc", "слово " * 7, " \t\n ", "x" * 4000, "one\x0btwo\x0cthree\r\nfour", "", None]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)]
+    edges.documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    want = {i: len((t or "").encode().split()) for i, t in enumerate(texts)}
+    got = registry.queries()["op10_source_mixing"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.tokens for r in got} == want
+    stage = corpus_pipeline.mixture(spark, edges.documents(spark, rows), str(tmp_path)).collect()
+    assert stage and all(r.tokens == want[r.doc_id] for r in stage)

@@ -61,7 +61,7 @@ def _lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source_mixing.mix(table(spark, sf_dir, "documents")).drop("text", "n_chars")
+    return source_mixing.mix(table(spark, sf_dir, "documents"), words=True).drop("text", "n_chars")
 
 
 def queries() -> dict[str, Query]:

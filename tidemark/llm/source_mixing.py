@@ -24,7 +24,7 @@ MARGINS = ("source", "lang", "topic")
 # Targets by default: each share in proportion to tokens to this power.
 FLATTEN = {"source": 0.5, "lang": 0.5, "topic": 0.7}
 FRACTION = 0.5
-# Tokens are estimated from the bytes of a text.
+# Where words are not counted, tokens are estimated from the bytes of a text.
 BYTES_PER_TOKEN = 4.0
 MAX_SWEEPS = 20
 TOLERANCE = 1e-4
@@ -56,15 +56,16 @@ def _topic(text: Column, topics: Mapping[str, tuple[str, ...]]) -> Column:
     return F.greatest(*ranked)["topic"]
 
 
-def _facts(docs: DataFrame, text_col: str, source_col: str, lang_col: str, topics, names: dict[str, str]) -> DataFrame:
-    """``docs`` with the columns named in ``names``: the margins, tokens and the draw."""
+def _facts(docs: DataFrame, text_col: str, source_col: str, lang_col: str, topics, names: dict[str, str], words: bool) -> DataFrame:
+    """``docs`` with the columns named in ``names``: the margins and tokens."""
     text = F.col(text_col).cast("string")
+    tokens = F.regexp_count(text, F.lit(r"\S+")) if words else F.ceil(F.octet_length(text) / BYTES_PER_TOKEN)
     return docs.withColumns(
         {
             names["source"]: F.coalesce(F.col(source_col).cast("string"), F.lit("")),
             names["lang"]: F.coalesce(F.col(lang_col).cast("string"), F.lit("")),
             names["topic"]: _topic(text, topics),
-            names["tokens"]: F.coalesce(F.ceil(F.octet_length(text) / BYTES_PER_TOKEN), F.lit(0)).cast("long"),
+            names["tokens"]: F.coalesce(tokens, F.lit(0)).cast("long"),
         }
     )
 
@@ -165,16 +166,19 @@ def mix(
     topics: Mapping[str, tuple[str, ...]] = TOPICS,
     seed: str = "mix",
     max_sweeps: int = MAX_SWEEPS,
+    words: bool = False,
 ) -> DataFrame:
     """``docs`` with all its columns and topic, tokens, weight, probability, sampled (named anew where taken).
 
-    A topic is that of the stems the text has most of; null texts count as
+    Tokens are words, cut at spaces and control characters 9 to 13, if ``words``
+    is set, as the registered query and the pipeline do; otherwise an estimate
+    from bytes. A topic is that of the stems the text has most of; null texts count as
     empty and have no tokens. Null sources and languages count as empty names.
     Values without a target, where targets are given, have share 0. Equal rows
     are taken or left together. An empty table gives an empty result.
     """
     names = {n: fresh(docs, f"_{n}") for n in (*MARGINS, "tokens")}
-    rows = _facts(docs, text_col, source_col, lang_col, topics, names)
+    rows = _facts(docs, text_col, source_col, lang_col, topics, names, words)
     cells = cut(
         rows.select(*[F.col(names[n]).alias(n) for n in names])
         .groupBy(*MARGINS)
