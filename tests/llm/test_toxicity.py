@@ -1,8 +1,13 @@
 import random
 import zlib
 
+import numpy as np
+
 from tests.llm import edges
-from tidemark.llm.toxicity import toxicity
+from tidemark.llm.toxicity import features, toxicity, train
+
+# Words of letters alone.
+DIGITS = str.maketrans("0123456789", "abcdefghij")
 
 BAD = ["vile", "nasty", "awful", "foul"]
 
@@ -40,3 +45,26 @@ def test_nothing_to_learn_from(spark):
     assert toxicity(edges.empty(spark), none).collect() == []
     some = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
     assert toxicity(edges.empty(spark), some).collect() == []
+
+
+def test_rare_toxic_documents_are_found():
+    """At a prior of 0.7 percent, each telling word in a quarter of the toxic documents."""
+    rng = random.Random(8)
+    prior, telling = 0.007, [f"bad{i}" for i in range(10)]
+
+    def text(toxic):
+        words = [f"w{int(rng.paretovariate(0.7)) % 2000}" for _ in range(40)]
+        return features(" ".join(words + (rng.choices(telling, k=4) if toxic else [])).translate(DIGITS))
+
+    rows = lambda n, toxic: [np.array(text(toxic()), dtype=np.int64) for _ in range(n)]
+    model = train(rows(600, lambda: True), rows(4000, lambda: rng.random() < prior), prior)
+    weights = dict(zip(model[0].tolist(), model[1]))
+    score = lambda r: model[2] + sum(weights.get(int(b), 0.0) for b in r)
+    assert sum(score(r) > 0 for r in rows(200, lambda: True)) >= 150
+    assert sum(score(r) > 0 for r in rows(2000, lambda: False)) <= 10
+
+
+def test_penalty_does_not_depend_on_the_prior():
+    rows = lambda n, share: [np.array([1, 2] if i < share * n else [2], dtype=np.int64) for i in range(n)]
+    for prior in (0.003, 0.01, 0.1):
+        assert 1 in train(rows(400, 0.3), rows(800, 0.3 * prior), prior)[0]

@@ -29,8 +29,10 @@ BUCKETS = 1 << 20
 POSITIVES = 2000
 UNLABELLED = 4000
 MEMBERS = 4
-# L1 penalty and steps of the training.
-SHRINK, STEPS = 0.003, 400
+# L1 penalty, in parts of the prior, and steps of the training.
+SHRINK, STEPS = 0.027, 400
+# Words left out are checked again so many times at most, as long as one belongs in.
+ROUNDS = 5
 INTERCEPT = -1
 _FOLDS = 5
 
@@ -57,12 +59,39 @@ def train(
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """(buckets, weights, intercept) of a logistic classifier: accelerated proximal steps on the non-negative risk.
 
-    ``shrink`` is the L1 penalty. At the start, a word's slope is the prior times
-    the difference of its document rates, so words below the penalty stay at
-    zero and are left out.
+    The L1 penalty is ``shrink`` times the prior: a word's slope at the start is
+    the prior times the difference of its document rates, so the difference is
+    held against ``shrink``, or the largest standard error of the positives'
+    rates if that is more, whatever the prior. Words below that are left out;
+    at the optimum their slopes are checked again, and those above the penalty
+    let in.
     """
+    # A rate is known no better than its standard error.
+    shrink = max(shrink, 0.5 / np.sqrt(len(positive)))
+    penalty = shrink * prior
     rate = lambda rows: np.bincount(np.concatenate(rows).astype(np.int64), minlength=BUCKETS) / len(rows)
-    active = np.flatnonzero(prior * np.abs(rate(unlabelled) - rate(positive)) >= shrink)
+    active = np.flatnonzero(np.abs(rate(unlabelled) - rate(positive)) >= shrink)
+    for _ in range(ROUNDS):
+        weights, of_p, of_u = _fitted(active, positive, unlabelled, prior, penalty, steps)
+        # The slope of every word, active or not.
+        sums = lambda rows, each: np.bincount(
+            np.concatenate(rows).astype(np.int64), np.repeat(each, [len(r) for r in rows]), BUCKETS
+        )
+        slope = np.abs(sums(positive, of_p) + sums(unlabelled, of_u))
+        slope[active] = 0
+        more = np.flatnonzero(slope > penalty * 1.01)
+        if not len(more):
+            break
+        active = np.union1d(active, more)
+    else:
+        weights, *_ = _fitted(active, positive, unlabelled, prior, penalty, steps)
+    return active, weights[:-1], float(weights[-1])
+
+
+def _fitted(
+    active: np.ndarray, positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, penalty: float, steps: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights of the active words and the intercept; each row's part in the slope of its words, positive and unlabelled."""
 
     def matrix(rows):
         found = np.zeros((len(rows), len(active) + 1), dtype=np.float32)
@@ -90,11 +119,15 @@ def train(
         of_positive = prior * (x_p.T @ (_sigmoid(f_p) - 1)) / len(x_p)
         slope = of_positive + of_negative if negative >= 0 else -of_negative
         new = ahead - step * slope
-        new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - step * shrink, 0)
+        new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - step * penalty, 0)
         following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         ahead = new + (momentum - 1) / following * (new - weights)
         weights, momentum = new, following
-    return active, weights[:-1], float(weights[-1])
+    f_p, f_u = x_p @ weights, x_u @ weights
+    of_p, of_u = -prior * _sigmoid(f_p) / len(x_p), _sigmoid(f_u) / len(x_u)
+    if np.logaddexp(0, f_u).mean() >= prior * np.logaddexp(0, f_p).mean():
+        return weights, of_p + prior * (_sigmoid(f_p) - 1) / len(x_p), of_u
+    return weights, -of_p, -of_u
 
 
 def fit(
