@@ -94,3 +94,55 @@ SELECT page_id, host, path, rule, coalesce(action, CASE WHEN upper < 0.5 THEN 'b
     round(mean, 9) AS good_mean, round(upper, 9) AS good_upper
 FROM ruled WHERE nth = 1
 """
+
+
+def _centroids(rounds: int = 5, k: int = 40, dimensions: int = 64) -> str:
+    near = (
+        "SELECT r, min(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * {k} + cluster) AS best "
+        "FROM kept, c{t} GROUP BY r"
+    )
+    steps = [
+        f"""kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda v: CAST(floor(256 * CAST(v AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+        )""",
+        f"""c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS cluster, x AS c
+            FROM kept ORDER BY sha256('2:' || vec_id) LIMIT {k}
+        )""",
+    ]
+    for t in range(rounds):
+        steps += [
+            f"a{t} AS MATERIALIZED ({near.format(k=k, t=t)})",
+            f"""m{t} AS (
+                SELECT cluster, list(CAST((s - ((s % n + n) % n)) // n AS BIGINT) ORDER BY d) AS c
+                FROM (
+                    SELECT best % {k} AS cluster, d, sum(x[d]) AS s, count(*) AS n
+                    FROM a{t} JOIN kept USING (r), range(1, {dimensions + 1}) AS dims(d) GROUP BY ALL
+                ) GROUP BY cluster
+            )""",
+            f"c{t + 1} AS MATERIALIZED (SELECT cluster, coalesce(m{t}.c, c{t}.c) AS c FROM c{t} LEFT JOIN m{t} USING (cluster))",
+        ]
+    steps.append(f"a{rounds} AS MATERIALIZED ({near.format(k=k, t=rounds)})")
+    return f"""
+WITH {", ".join(steps)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(best // {k} AS BIGINT) AS distance,
+    CAST(sum(best // {k}) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+    CAST(sum(best // {k}) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM (SELECT r, best, best % {k} AS cluster FROM a{rounds}) JOIN kept USING (r) JOIN c{rounds} USING (cluster)
+"""
+
+
+CENTROID_CLUSTERING = _centroids()
+
+WARC = """
+SELECT page_id, strlen(body) AS payload_bytes, digest AS payload_digest,
+    CASE WHEN strlen(body) >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN strlen(body) >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM (
+    SELECT *, min(page_id) OVER (PARTITION BY digest) AS first_id
+    FROM (SELECT page_id, coalesce(html, '') AS body, sha256(coalesce(html, '')) AS digest FROM pages)
+)
+"""

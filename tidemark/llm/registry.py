@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
+    centroid_clustering,
     decontamination,
     exact_dedup,
     language_id,
@@ -18,6 +19,8 @@ from tidemark.llm import (
     substring_dedup,
     toxicity,
     url_filter,
+    warc,
+    whitening,
 )
 from tidemark.llm.common import table
 
@@ -64,6 +67,18 @@ def _source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix(table(spark, sf_dir, "documents"), words=True).drop("text", "n_chars")
 
 
+def _centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering.centroid_clustering(table(spark, sf_dir, "embeddings"))
+
+
+def _whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening(table(spark, sf_dir, "embeddings"))
+
+
+def _warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": _substring_dedup,
@@ -76,6 +91,9 @@ def queries() -> dict[str, Query]:
         "op8_url_filter": _url_filter,
         "op9_lm_scoring": _lm_scoring,
         "op10_source_mixing": _source_mixing,
+        "op11_centroid_clustering": _centroid_clustering,
+        "op12_whitening": _whitening,
+        "op13_warc": _warc,
     }
 
 
@@ -84,4 +102,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_exact_dedup": oracles.EXACT_DEDUP,
         "op4_decontamination": oracles.DECONTAMINATION,
         "op8_url_filter": oracles.URL_FILTER,
+        "op11_centroid_clustering": oracles.CENTROID_CLUSTERING,
+        "op13_warc": oracles.WARC,
     }
