@@ -74,9 +74,9 @@ def _slices(batch: pa.RecordBatch, rows: int = 1024) -> Iterator[pa.RecordBatch]
 
 
 def join_counted(
-    rows: DataFrame, unique: DataFrame, keys: list[str], count: str, spread: Column, distinct: bool = False
+    rows: DataFrame, unique: DataFrame, keys: list[str], count: str, spread: Column, distinct: bool = False, how: str = "inner"
 ) -> DataFrame:
-    """Inner join of ``rows`` with ``unique``, which has one row per key and in ``count`` how many rows it meets.
+    """Join (inner or left) of ``rows`` with ``unique``, which has one row per key and in ``count`` how many rows it meets.
 
     As the counts are exact, the heavy keys are known: under ``HEAVY_ONE_IN``
     of them, so their list is broadcast. Rows of a heavy key are dealt over
@@ -92,7 +92,7 @@ def join_counted(
     )
     copies = F.when(F.col(count) > limit, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))
     right = unique.withColumn("_salt", F.explode(copies))
-    joined = left.drop("_salts").join(right, [*keys, "_salt"])
+    joined = left.drop("_salts").join(right, [*keys, "_salt"], how)
     return (joined.distinct() if distinct else joined).drop("_salt")
 
 

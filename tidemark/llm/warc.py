@@ -175,9 +175,11 @@ def write_archives(
     copies = cut(
         slim.where(long_ones).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
     )
-    dealt = slim.withColumn("revisit", F.lit(False))
-    if not copies.isEmpty():
-        dealt = _marked(slim, copies)
+    # Equal rows too are spread: by their place in the table, not by what they hold.
+    row = F.xxhash64(F.monotonically_increasing_id())
+    met = join_counted(slim, copies, ["digest"], "n", row, how="left")
+    later = F.col("n").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
+    dealt = met.withColumn("revisit", later)
 
     def write(batch: pa.RecordBatch):
         found: list[bytes] = []
@@ -189,23 +191,6 @@ def write_archives(
     lines.select(F.col("record").cast("string")).write.option("lineSep", END).option("compression", compression).text(path)
 
 
-def _marked(slim: DataFrame, copies: DataFrame) -> DataFrame:
-    """``slim`` with ``revisit``: whether an earlier page has the same payload.
-
-    Only the (id, digest) of rows are shuffled to meet their first page; the
-    payloads stay where they are unless they have to become responses no more.
-    """
-    later = cut(
-        join_counted(slim.select("page_id", "digest"), copies, ["digest"], "n", F.col("page_id"))
-        .where(~F.col("page_id").eqNullSafe(F.col("first_id")))
-        .select("page_id", "digest")
-        .distinct()
-    )
-    mark = later.select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), F.lit(True).alias("_later"))
-    same = F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
-    return slim.join(mark, same, "left").select(*slim.columns, F.coalesce("_later", F.lit(False)).alias("revisit"))
-
-
 def parsed(piece: bytes) -> tuple[dict[str, str], bytes, bool] | None:
     """(fields, block, whether it is whole) of what follows a version line; None if there is no header."""
     head, blank, rest = piece.partition(b"\r\n\r\n")
@@ -403,7 +388,7 @@ def warc_round_trip(
     )
     wanted = revisits.groupBy("payload_digest").agg(F.count("*").alias("n"))
     met = cut(wanted.join(origins, "payload_digest", "left"))
-    resolved = join_counted(revisits.drop("payload_bytes"), met, ["payload_digest"], "n", F.xxhash64("page_id", "url"))
+    resolved = join_counted(revisits.drop("payload_bytes"), met, ["payload_digest"], "n", F.xxhash64(F.monotonically_increasing_id()))
     return responses.select(*named, F.lit(None).cast("long").alias("refers_to"), "url").unionByName(
         resolved.select(*named, "refers_to", "url")
     )
