@@ -13,7 +13,7 @@ Every set is computed in the same three steps:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.functions.columns import day_bound, pack_flags, unpack_flag
 from tidemark.functions.dates import DateRange
@@ -241,10 +241,11 @@ def backfill_windows(
 
     Rows carry their window in ``months`` (0 for all history). An item counts for
     the dates between its release and the end of the window, always one unbroken
-    run of the range. Items with the same run are summed first: at most
-    ``2 * dates + 1`` rows per entity and window remain to be spread out, however
-    many credit rows there are. The credit rows are read, folded and joined once
-    for all windows.
+    run of the range. Items with the same run are summed first: a few rows per date
+    and window remain for each entity, however many credit rows there are, and
+    running merges over them give every date (``spread_runs``): rows made grow with
+    the dates, not with their square. The credit rows are read, folded and joined
+    once for all windows.
     """
     dtype = items.schema[spec.release].dataType
     released = items.where(F.col(spec.release) < day_bound(dtype, F.lit(dates.last)))
@@ -258,6 +259,7 @@ def backfill_windows(
                 F.lit(months or ALL_HISTORY).alias(WINDOW),
                 dates.first_after(day).alias("from"),
                 dates.last_within(day, months).alias("to"),
+                block_of(day, F.lit(months or ALL_HISTORY)).alias("block"),
             )
             for months in windows
         ]
@@ -269,17 +271,10 @@ def backfill_windows(
     runs = (
         _credited(facts, side.where(F.size("_runs") > 0), spec)
         .withColumn("_run", F.explode("_runs"))
-        .groupBy(spec.entity, f"_run.{WINDOW}", "_run.from", "_run.to")
+        .groupBy(spec.entity, f"_run.{WINDOW}", "_run.block", "_run.from", "_run.to")
         .agg(*[F.expr(make).alias(name) for name, (make, _) in parts.items()])
     )
-    # Moving the few runs of an entity together, before they are spread out, saves
-    # the much larger shuffle of (entity, date) rows after it.
-    per_date = (
-        runs.repartition(spec.entity)
-        .withColumn("_date", F.explode(dates.between(F.col("from"), F.col("to"))))
-        .groupBy(spec.entity, WINDOW, "_date")
-        .agg(*[F.expr(f"{merge}({name})").alias(name) for name, (_, merge) in parts.items()])
-    )
+    per_date = spread_runs(runs, spec.entity, {name: merge for name, (_, merge) in parts.items()}, dates)
     return per_date.select(
         spec.entity,
         F.date_format("_date", "yyyy-MM-dd").alias(spec.ref),
@@ -288,6 +283,81 @@ def backfill_windows(
     )
 
 
+def block_of(day: Column, months: Column) -> Column:
+    """The number of the block of ``months`` calendar months that ``day`` lies in; 0 for all history."""
+    number = F.year(day) * 12 + F.month(day) - 1
+    return F.when(months > 0, F.floor(number / months)).otherwise(0).cast("int")
+
+
+def _block_start(block: Column, months: Column) -> Column:
+    number = block * months
+    return F.make_date(F.floor(number / 12).cast("int"), F.pmod(number, F.lit(12)) + 1, F.lit(1))
+
+
+def run_marks(runs: DataFrame, dates: DateRange) -> DataFrame:
+    """For each run the dates at which its parts enter or leave the sums of a block of dates.
+
+    Dates are dealt to blocks as long as the window. An item released in a block
+    counts for every later date of that block, and for the next block up to its
+    run's end: it enters in its own block at ``from``, is there when the next one
+    starts, and leaves after ``to``. Adds ``_block``, ``_at`` and ``_side`` (1 enters,
+    -1 leaves, 0 only starts a block). At most three rows a run, whatever its length.
+    """
+    months, block = F.col(WINDOW), F.col("block")
+    follows = dates.first_after(F.date_sub(_block_start(block + 1, months), 1))
+    enters = F.struct(block.alias("block"), F.col("from").alias("at"), F.lit(1).alias("side"))
+    starts = F.struct((block + 1).alias("block"), follows.alias("at"), F.lit(0).alias("side"))
+    leaves = F.struct((block + 1).alias("block"), dates.first_after(F.col("to")).alias("at"), F.lit(-1).alias("side"))
+    none = F.array().cast("array<struct<block:int,at:date,side:int>>")
+    here = F.when(block_of(F.col("from"), months) == block, F.array(enters)).otherwise(none)
+    there = F.when((months > 0) & (follows <= F.col("to")), F.array(starts, leaves)).otherwise(none)
+    marked = runs.withColumn("_mark", F.explode(F.concat(here, there)))
+    return marked.withColumns({"_block": F.col("_mark.block"), "_at": F.col("_mark.at"), "_side": F.col("_mark.side")}).drop("_mark")
+
+
+def spread_runs(runs: DataFrame, entity: str, merges: dict[str, str], dates: DateRange) -> DataFrame:
+    """One row per entity, window and date (``_date``) with the parts of all its runs at that date merged.
+
+    No run is written out date by date. Within a block what has entered is a
+    running merge forwards, what has not left yet one backwards; both together are
+    the parts from one mark to the next, which hold for all dates between. Nothing
+    is ever subtracted, so sums of fractions do not drift and least and greatest
+    values work the same way. Rows made are the marks and the result.
+    """
+    marks = run_marks(runs, dates)
+    keys = [entity, WINDOW, "_block"]
+    # Partitioned for the windows at once: the sums per mark need no shuffle of their own.
+    at = (
+        marks.repartition(*keys)
+        .groupBy(*keys, "_at")
+        .agg(
+            *[F.expr(f"{merge}({name}) FILTER (WHERE _side = 1) AS `_in{name}`") for name, merge in merges.items()],
+            *[F.expr(f"{merge}({name}) FILTER (WHERE _side = -1) AS `_out{name}`") for name, merge in merges.items()],
+        )
+    )
+    forwards = W.partitionBy(*keys).orderBy("_at")
+    entered = forwards.rowsBetween(W.unboundedPreceding, W.currentRow)
+    staying = W.partitionBy(*keys).orderBy(F.desc("_at")).rowsBetween(W.unboundedPreceding, -1)
+    both = {"sum": "coalesce({0}, 0) + coalesce({1}, 0)", "min": "least({0}, {1})", "max": "greatest({0}, {1})"}
+    merged = at.select(
+        *keys,
+        "_at",
+        F.lead("_at").over(forwards).alias("_next"),
+        *[F.expr(f"{merge}(`_in{name}`)").over(entered).alias(f"_in{name}") for name, merge in merges.items()],
+        *[F.expr(f"{merge}(`_out{name}`)").over(staying).alias(f"_out{name}") for name, merge in merges.items()],
+    ).select(
+        *keys,
+        "_at",
+        "_next",
+        *[F.expr(both[merge].format(f"`_in{name}`", f"`_out{name}`")).alias(name) for name, merge in merges.items()],
+    )
+    months = F.col(WINDOW)
+    block_end = F.when(months > 0, F.date_sub(_block_start(F.col("_block") + 1, months), 1))
+    until = F.least(F.date_sub("_next", 1), block_end, F.lit(dates.last))
+    held = merged.where("_items > 0").withColumn("_until", until).where("_at <= _until")
+    return held.withColumn("_date", F.explode(dates.between(F.col("_at"), F.col("_until"))))
+
+
 def window_table(features: DataFrame, spec: FeatureSpec) -> DataFrame:
     """The table of one windowed ``spec`` out of a ``backfill_windows`` result."""
     names = features.drop(WINDOW).columns
