@@ -90,3 +90,66 @@ def test_shared_columns_are_refused(spark):
     b = spark.createDataFrame([(1, at(1), 1)], "id long, ref timestamp_ntz, v long")
     with pytest.raises(ValueError):
         asof_join(a, b, "id", "ts", "ref")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_band_against_brute_force(spark, zone, kind):
+    """Buckets of the age, across 1970 and across the changes of the clock."""
+    rng = random.Random(zone + kind)
+    age = dt.timedelta(minutes=40)
+    starts = [dt.datetime(1969, 12, 31, 20), dt.datetime(2024, 3, 10, 0), dt.datetime(2024, 11, 3, 0)]
+    some = lambda: rng.choice(starts) + dt.timedelta(seconds=rng.randrange(0, 6 * 3600, 300), microseconds=rng.choice([0, 1, 999_999]))
+    feats = [(rng.randrange(4), some(), v) for v in range(500)]
+    rows = [(n, rng.choice([None, 0, 1, 2, 3, 4]), rng.choice([None, some(), some(), some()])) for n in range(700)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        left = spark.createDataFrame(rows, "n long, id long, ts timestamp_ntz").withColumn("ts", F.col("ts").cast(kind))
+        right = spark.createDataFrame(feats, "id long, ref timestamp_ntz, v long").withColumn("ref", F.col("ref").cast(kind))
+        left, right = left.cache(), right.cache()
+        instant = (lambda c: F.unix_micros(c)) if kind == "timestamp" else (lambda c: F.expr(f"bigint(1000000 * cast({c} - TIMESTAMP_NTZ '1970-01-01' AS DECIMAL(20, 6)))"))
+        by_id = {}
+        for r in right.select("id", instant("ref").alias("t"), "v").collect():
+            by_id.setdefault(r.id, []).append((r.t, r.v))
+        want = {}
+        for r in left.select("n", "id", instant("ts").alias("t")).collect():
+            near = [(t, v) for t, v in by_id.get(r.id, []) if r.t is not None and t <= r.t]
+            best = max(near, default=None)
+            want[r.n] = best[1] if best and r.t - best[0] <= age // dt.timedelta(microseconds=1) else None
+        got = asof_join(left, right, "id", "ts", "ref", max_age=age, tie=["v"])
+        assert {r.n: r.v for r in got.collect()} == want
+        assert sum(v is not None for v in want.values()) > 100
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+        spark.catalog.clearCache()
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_slices_only_where_a_group_is_hot(spark, monkeypatch):
+    from tidemark.operators import asof
+
+    left = spark.range(3000).selectExpr("id AS n", "id % 7 AS id", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, id) AS ts")
+    right = spark.range(3000).selectExpr("id % 7 AS id", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, 2 * id) AS ref", "id AS v")
+    minute = dt.timedelta(minutes=1)
+    quiet = [asof_join(left, right, "id", "ts", "ref", max_age) for max_age in (None, minute)]
+    assert not any("percentile_approx" in _plan(q) or "max_by" in _plan(q) for q in quiet)
+    monkeypatch.setattr(asof, "HOT_ROWS", 300)
+    # An id holds a seventh of all; in a bucket of a minute it has few rows.
+    assert "percentile_approx" in _plan(asof_join(left, right, "id", "ts", "ref"))
+    assert "percentile_approx" not in _plan(asof_join(left, right, "id", "ts", "ref", minute))
+    assert "percentile_approx" in _plan(asof_join(left, right, "id", "ts", "ref", 60 * minute))
+    hot = asof_join(left, right, "id", "ts", "ref", 60 * minute)
+    assert sorted(map(tuple, hot.collect())) == sorted(map(tuple, asof_join(left, right, "id", "ts", "ref", 60 * minute, slice_bits=0).collect()))
+
+
+def test_features_out_of_reach_are_left_out_before_the_sort(spark):
+    from tidemark.operators import asof
+
+    left = spark.createDataFrame([(1, at(10)), (1, at(11))], "_id long, _t timestamp_ntz")
+    right = spark.createDataFrame([(1, at(d)) for d in range(1, 31)], "_id long, _t timestamp_ntz")
+    kept = asof._within_reach(left, right, 2 * DAY)
+    assert sorted(r._t.day for r in kept.collect()) == [8, 9, 10, 11]
