@@ -3,7 +3,8 @@
 Every set is computed in the same three steps:
 
 1. credit rows -> one row per (entity, item): row count and OR-ed flags, so
-   distinct counts become plain sums and need no ``Expand``;
+   distinct counts become plain sums and need no ``Expand``; for a window, credit
+   rows of items outside it are dropped before, by a filter of the items' ids;
 2. join with the item side, which carries the release day, the measures and,
    for tag sets, the flags of all the item's tags: tags are folded per item
    before any entity is involved, so they never multiply the credit rows;
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.functions.columns import day_bound, pack_flags, unpack_flag
 from tidemark.functions.dates import DateRange
+from tidemark.operators.semijoin import reduced, shares
 from tidemark.operators.shape import trailing
 from tidemark.operators.skew import heavy_keys, salted_join
 from tidemark.plans import feature_spec as fs
@@ -184,6 +186,17 @@ def _item_side(items: DataFrame, spec: FeatureSpec, tags: tuple[DataFrame, DataF
     return attach_tags(side, bridge, dim, spec.item, spec.tag, spec.predicates)
 
 
+def _windowed_facts(facts: DataFrame, items: DataFrame, window: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """Credit rows of the items in the window, and perhaps a few others: what is worth folding."""
+    slim = facts.select(*dict.fromkeys([spec.entity, spec.item, *_flag_columns(facts, spec)]))
+    return reduced(slim, window.select(spec.item), spec.item, shares(window, items))
+
+
+def _flag_columns(facts: DataFrame, spec: FeatureSpec) -> list[str]:
+    """The columns that a fold of the credit rows may read besides its keys."""
+    return [] if spec.tag else [c for c in facts.columns if any(c.lower() in p.lower() for p in spec.predicates)]
+
+
 def _credited(facts: DataFrame, side: DataFrame, spec: FeatureSpec) -> DataFrame:
     pairs = entity_items(facts, spec.entity, spec.item, [] if spec.tag else spec.predicates)
     return salted_join(pairs, side, spec.item, [spec.entity], heavy_keys(facts, spec.item))
@@ -202,7 +215,10 @@ def build_features(
     ``items`` must be unique per item; ``tags`` is (bridge, dimension). ``sort``
     orders the result by entity.
     """
-    side = _item_side(trailing(items, spec.release, date, spec.months), spec, tags)
+    window = trailing(items, spec.release, date, spec.months)
+    if spec.months is not None:
+        facts = _windowed_facts(facts, items, window, spec)
+    side = _item_side(window, spec, tags)
     parts = _partials(spec)
     sums = _credited(facts, side, spec).groupBy(spec.entity).agg(
         *[F.expr(make).alias(name) for name, (make, _) in parts.items()]
@@ -252,6 +268,7 @@ def backfill_windows(
     if None not in windows:
         oldest = F.add_months(F.lit(dates.first), -max(windows))
         released = released.where(F.col(spec.release) >= day_bound(dtype, oldest))
+        facts = _windowed_facts(facts, items, released, spec)
     day = F.col("_day")
     runs_of_item = F.array(
         *[
