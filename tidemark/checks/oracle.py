@@ -346,6 +346,17 @@ def oracle_sql() -> dict[str, str]:
         "chain_landing_to_features": _chain(sets["company_general_05_years"], DATES[60]),
         "bronze_process_full": f"""SELECT id, "user", kind, value, props, updated_at, true AS ingestion_at FROM (SELECT *, row_number()
   OVER (PARTITION BY "user" ORDER BY updated_at DESC) AS rn FROM ({EVENT_LANDING})) WHERE rn = 1""",
+        "landing_pages": f"""SELECT id, "user", kind, value, props, updated_at, NULL::BIGINT AS rejected_id, NULL::VARCHAR AS reason
+  FROM ({EVENT_LANDING}) WHERE id % 50 <> 0
+  UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, id, 'does not fit' FROM ({EVENT_LANDING}) WHERE id % 50 = 0""",
+        "landing_pages_inferred": f"""SELECT id, "user", kind, CASE WHEN id % 50 = 0 THEN -1.0::DOUBLE ELSE coalesce(value, -1.0::DOUBLE) END AS value,
+  props, updated_at, 0::BIGINT AS rejected FROM ({EVENT_LANDING})""",
+        "bronze_process_pages": f"""SELECT id, "user", kind, value, props, updated_at, true AS ingestion_at,
+  (SELECT count(*) FROM ({EVENT_LANDING}) WHERE id % 50 = 0) AS rejected FROM (SELECT *, row_number()
+  OVER (PARTITION BY "user" ORDER BY updated_at DESC) AS rn FROM ({EVENT_LANDING}) WHERE id % 50 <> 0) WHERE rn = 1""",
+        "bronze_process_transform": f"""SELECT kind, count(*) AS n, max(updated_at) AS "last", count(DISTINCT "user") AS users
+  FROM ({EVENT_LANDING}) GROUP BY kind""",
+        "table_by_name": f"SELECT o_orderkey, o_totalprice * 2 AS o_totalprice, dtRef FROM ({ORDERS_BY_MONTH}) WHERE dtRef >= '1998-07'",
         "backfill_daily": _backfill(sets["company_general"], DAILY),
         "backfill_monthly": _backfill(sets["company_general_01_years"], MONTHLY),
         "backfill_yearly": _backfill(sets["company_general_05_years"], YEARLY),
@@ -368,4 +379,5 @@ def oracle_sql() -> dict[str, str]:
   FROM s ASOF LEFT JOIN f ON s.idCompany = f.idCompany AND s.event_timestamp >= f.refTime""",
         "feature_projection": _projected(five, DATES[60]),
     }
+    out["silver_refresh"] = out["silver_companies"]
     return out

@@ -33,9 +33,9 @@ from tidemark.operators.shape import (
 )
 from tidemark.operators.upsert import upsert
 from tidemark.plans import catalogue as cat
-from tidemark.plans.medallion import Ingest, bridge_table, entity_table, feature_inputs, ingest_stream, process_full, silver_tables
+from tidemark.plans.medallion import Ingest, bridge_table, entity_table, feature_inputs, ingest_stream, process_full, refresh, silver_tables
 from tidemark.sinks import KeyedTable, ensure_table, replace_partition, save_full, shared_dir, write_backfill
-from tidemark.sources import incremental_extract, read_accounted, read_landing, read_partition, read_table, resolve_schema
+from tidemark.sources import incremental_extract, read_accounted, read_landing, read_pages, read_partition, read_table, resolve_schema
 from tidemark.streaming import stream_landing, upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -267,6 +267,76 @@ def _process_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{home}/table").withColumn("ingestion_at", stamped)
 
 
+def _write_pages(spark: SparkSession, sf_dir: str) -> str:
+    """Pages of 500 records over several lines; every fiftieth holds a text where a number belongs."""
+    landing, rows = shared_dir(spark, "pages"), _landing_rows(spark, sf_dir)
+    others = [c for c in rows.columns if c != "value"]
+    text = F.when(F.col("id") % 50 == 0, F.to_json(F.struct(*others, F.lit("n/a").alias("value")))).otherwise(F.to_json(F.struct("*")))
+    records = F.array_join(F.sort_array(F.collect_list("text")), ",\n  ")
+    pages = rows.select(F.expr("id div 500").alias("page"), text.alias("text")).groupBy("page").agg(records.alias("r"))
+    pages.select(F.concat(F.lit("[\n  "), "r", F.lit("\n]"))).write.option("maxRecordsPerFile", 1).text(landing)
+    return landing
+
+
+def _landing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record of every page, and of those that do not fit the schema their id."""
+    landing, schema = _write_pages(spark, sf_dir), _landing_rows(spark, sf_dir).schema
+    good, bad = read_pages(spark, landing, schema)
+    rejected = bad.select(F.get_json_object("record", "$.id").cast("long").alias("rejected_id"), "reason")
+    return good.unionByName(rejected, allowMissingColumns=True)
+
+
+def _landing_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a schema the mixed column is text, so that no record is lost."""
+    landing = _write_pages(spark, sf_dir)
+    good, bad = read_pages(spark, landing)
+    kept = good.withColumn("value", F.coalesce(F.expr("try_cast(value AS DOUBLE)"), F.lit(-1.0)))
+    return kept.withColumn("rejected", bad.agg(F.count("*")).scalar())
+
+
+def _process_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full load of multi-line pages: the records that do not fit are counted, the others keep their rows."""
+    landing, table = _write_pages(spark, sf_dir), shared_dir(spark, "full")
+    schema = _landing_rows(spark, sf_dir).schema
+    process_full(spark, landing, table, ["user"], "updated_at", schema=schema, rejects=f"{table}_rejects")
+    rejected = read_table(spark, f"{table}_rejects").agg(F.count("*")).scalar()
+    return read_table(spark, table).withColumns({"ingestion_at": F.col("ingestion_at").isNotNull(), "rejected": rejected})
+
+
+def _process_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full load through a query of the caller's own over the landing rows."""
+    home = shared_dir(spark, "full")
+    _landing_rows(spark, sf_dir).write.parquet(f"{home}/landing")
+
+    def by_kind(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("kind").agg(F.count("*").alias("n"), F.max("updated_at").alias("last"), F.count_distinct("user").alias("users"))
+
+    process_full(spark, f"{home}/landing", f"{home}/table", ["id"], "updated_at", fmt="parquet", transform=by_kind)
+    return read_table(spark, f"{home}/table")
+
+
+def _silver_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A silver table refreshed twice, the second time with other columns."""
+    path, tables = shared_dir(spark, "silver"), cat.entity_tables(OWN)
+    for name in ("genres", "companies"):
+        refresh(entity_table(Sample(spark, sf_dir).landing(tables[name].source), tables[name]), path)
+    return read_table(spark, path)
+
+
+def _table_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalogue table created empty, written, and computed anew from itself."""
+    home = shared_dir(spark, "catalogue")
+    base = "checks_" + home.rpartition("-")[2]
+    spark.sql(f"CREATE DATABASE {base} LOCATION '{home}'")
+    name = f"{base}.months"
+    ensure_table(spark, name, ORDERS_BY_MONTH, ["dtRef"])
+    save_full(_orders_by_month(Sample(spark, sf_dir)), name, ["dtRef"])
+    ensure_table(spark, name, ORDERS_BY_MONTH, ["dtRef"])
+    doubled = read_table(spark, name).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    save_full(doubled.where("dtRef >= '1998-07'"), name, ["dtRef"])
+    return read_table(spark, name)
+
+
 def _chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON landing to keyed tables, in two runs on one checkpoint, to entity tables, to features."""
     s, home, bronze = Sample(spark, sf_dir), shared_dir(spark, "chain"), {}
@@ -398,7 +468,13 @@ def queries() -> dict[str, Query]:
         "landing_json_roundtrip": _landing_json,
         "landing_bad_records": _landing_bad,
         "chain_landing_to_features": _chain,
+        "landing_pages": _landing_pages,
+        "landing_pages_inferred": _landing_inferred,
         "bronze_process_full": _process_full,
+        "bronze_process_pages": _process_pages,
+        "bronze_process_transform": _process_transform,
+        "silver_refresh": _silver_refresh,
+        "table_by_name": _table_by_name,
         "backfill_daily": _backfill_query("company_general", DAILY),
         "backfill_monthly": _backfill_query("company_general_01_years", MONTHLY),
         "backfill_yearly": _backfill_query("company_general_05_years", YEARLY),

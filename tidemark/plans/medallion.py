@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.columns import decode, epoch_text, epoch_timestamp
 from tidemark.functions.dates import DateRange
-from tidemark.operators.dedup import latest_per_key
+from tidemark.operators.dedup import latest_per_key, split_null_keys
 from tidemark.operators.features import WINDOW, backfill_features, backfill_windows, window_table
 from tidemark.operators.shape import explode_bridge, sorted_entity, stamp
 from tidemark.plans import catalogue as cat
@@ -17,13 +17,31 @@ from tidemark.plans.feature_spec import FeatureSpec
 from tidemark.sinks.keyed_table import KeyedTable
 from tidemark.sinks.storage import remove, shared_dir
 from tidemark.sinks.tables import save_full, write_backfill
-from tidemark.sources.landing import read_landing, resolve_schema
+from tidemark.sources.landing import landing_options, read_accounted, read_landing, resolve_schema
+from tidemark.sources.pages import UNKEYED, UNREADABLE, read_pages
 from tidemark.sources.tables import read_table
 from tidemark.streaming.upserts import checkpoint_for, stream_landing, upsert_stream
 
 Tables = Mapping[str, DataFrame]
 
 
+def _scanned(
+    spark: SparkSession, landing: str, fmt: str, schema: T.StructType | str | None, options: Mapping[str, str]
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows, rejects as file, pos, reason and record; None where the format has none)."""
+    if fmt != "json":
+        return read_landing(spark, landing, fmt, schema, **options), None
+    if landing_options(fmt, dict(options))["multiLine"].lower() == "true":
+        return read_pages(spark, landing, schema)
+    declared = resolve_schema(spark, landing, fmt, schema, **options)
+    rows, bad = read_accounted(spark, landing, declared, fmt, **options)
+    # Spark refuses to read the raw text alone: nothing of what else was read is added to it.
+    nothing = F.left(F.to_json(F.struct(*declared.names)), F.lit(0))
+    return rows, bad.select(
+        "file", F.lit(None).cast("int").alias("pos"), F.lit(UNREADABLE).alias("reason"), F.concat("record", nothing).alias("record")
+    )
+
+
 def process_full(
     spark: SparkSession,
     landing: str,
@@ -34,10 +52,28 @@ def process_full(
     schema: T.StructType | str | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     partition_by: tuple[str, ...] = (),
+    rejects: str | None = None,
+    **options: str,
 ) -> None:
-    """Full load: scan, keep the latest row per key (or ``transform``), overwrite."""
-    df = read_landing(spark, landing, fmt, schema)
-    out = df.transform(transform) if transform else stamp(latest_per_key(df, ids, ts))
+    """Full load: scan, keep the latest row per key (or ``transform``), overwrite.
+
+    No record is lost unseen: those that cannot be read, do not fit the schema or
+    lack a key replace the table ``rejects`` (by default beside ``path``) with
+    their file, place, reason and text, before the table itself is replaced.
+    """
+    df, bad = _scanned(spark, landing, fmt, schema, options)
+    if transform:
+        out = df.transform(transform)
+    else:
+        df, loose = split_null_keys(df, ids)
+        out = stamp(latest_per_key(df, ids, ts))
+        none = F.lit(None)
+        unkeyed = loose.select(
+            none.cast("string").alias("file"), none.cast("int").alias("pos"), F.lit(UNKEYED).alias("reason"), F.to_json(F.struct("*")).alias("record")
+        )
+        bad = unkeyed if bad is None else bad.unionByName(unkeyed)
+    if bad is not None:
+        save_full(bad, rejects or f"{path.rstrip('/')}_rejects")
     save_full(out, path, partition_by)
 
 

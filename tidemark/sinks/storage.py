@@ -89,13 +89,15 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint directory; only where none is set, a temporary one is made and set."""
+    """The session's checkpoint directory. Only a session on one machine may leave it unset: it gets a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base and spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     if not base:
         # setCheckpointDir appends a folder of its own, once per application.
         if spark.sparkContext.getCheckpointDir() is None:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         base = spark.sparkContext.getCheckpointDir()
     return base

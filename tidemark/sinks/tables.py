@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.functions.dates import DateRange
-from tidemark.sinks.storage import exists, is_empty, shared_dir, staging, swap_in
+from tidemark.sinks.storage import exists, is_empty, remove, shared_dir, staging, swap_in
 
 
 def save_full(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None:
@@ -24,17 +24,20 @@ def save_full(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> N
     sized files and a large one is still split over several tasks.
     """
     spark = df.sparkSession
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
+
+    def even(rows: DataFrame) -> DataFrame:
+        return rows.hint("rebalance", *partition_by) if partition_by else rows
+
     if "/" in target:
         staged = staging(target)
-        df.write.partitionBy(*partition_by).parquet(staged)
+        even(df).write.partitionBy(*partition_by).parquet(staged)
         swap_in(spark, staged, target)
         return
     # The catalogue drops the old table first, so the rows are computed before that.
     staged = shared_dir(spark, "table")
     df.write.parquet(staged)
-    spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(target)
+    even(spark.read.schema(df.schema).parquet(staged)).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(target)
+    remove(spark, staged)
 
 
 def ensure_table(

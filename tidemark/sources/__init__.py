@@ -6,13 +6,16 @@ from tidemark.sources.landing import (
     resolve_schema,
     save_schema,
 )
+from tidemark.sources.pages import infer_pages, read_pages
 from tidemark.sources.tables import read_partition, read_table
 
 __all__ = [
     "incremental_extract",
+    "infer_pages",
     "load_schema",
     "read_accounted",
     "read_landing",
+    "read_pages",
     "read_partition",
     "read_table",
     "resolve_schema",
