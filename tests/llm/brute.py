@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import xxhash
 
 
@@ -9,6 +11,13 @@ def words(text):
     return [] if text is None else text.encode().lower().split()
 
 
+@cache
+def grams(text, n=5):
+    """The distinct runs of ``n`` words; a text is cut into words once."""
+    w = words(text)
+    return frozenset(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+
+
 def simhash(text, k=4):
     w = words(text)
     if not w:

@@ -7,13 +7,13 @@ from tidemark.llm.decontamination import drop_leaks, find_leaks
 
 
 def plain(docs, items):
-    grams = lambda t: {tuple(brute.words(t)[i : i + 5]) for i in range(len(brute.words(t)) - 4)}
     out = []
     for doc, text in docs:
         for item, item_text in set(items):
-            g = grams(item_text)
-            if g and len(g & grams(text)) >= 0.8 * len(g):
-                out.append((doc, item, len(g & grams(text)), len(g)))
+            g = brute.grams(item_text)
+            shared = len(g & brute.grams(text))
+            if g and shared >= 0.8 * len(g):
+                out.append((doc, item, shared, len(g)))
     return sorted(out, key=str)
 
 

@@ -32,9 +32,8 @@ def _near(rows):
 
 
 def _clean(rows):
-    grams = lambda t: {tuple(brute.words(t)[i : i + 5]) for i in range(len(brute.words(t)) - 4)}
-    items = [g for r in _read("benchmark", "text") if (g := grams(r["text"]))]
-    return [(d, t) for d, t in rows if not any(len(g & grams(t)) >= 0.8 * len(g) for g in items)]
+    items = [g for r in _read("benchmark", "text") if (g := brute.grams(r["text"]))]
+    return [(d, t) for d, t in rows if not any(len(g & brute.grams(t)) >= 0.8 * len(g) for g in items)]
 
 
 def test_stages_equal_brute_force(spark):
