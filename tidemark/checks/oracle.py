@@ -346,6 +346,14 @@ def oracle_sql() -> dict[str, str]:
         "chain_landing_to_features": _chain(sets["company_general_05_years"], DATES[60]),
         "bronze_process_full": f"""SELECT id, "user", kind, value, props, updated_at, true AS ingestion_at FROM (SELECT *, row_number()
   OVER (PARTITION BY "user" ORDER BY updated_at DESC) AS rn FROM ({EVENT_LANDING})) WHERE rn = 1""",
+        "bronze_marked_extract": NEWEST,
+        "bitmap_window_counts": " UNION ALL ".join(
+            f"""SELECT idCompany, '{last}' AS until, count(DISTINCT idGame) AS qtdeGames,
+  {", ".join(f"count(DISTINCT CASE WHEN {p} THEN idGame END) AS {n}" for n, p in ROLE_FLAGS.items())}
+  FROM ({CREDITS}) JOIN (SELECT o_orderkey AS idGame, strftime(o_orderdate, '%Y-%m') AS month FROM orders) USING (idGame)
+  WHERE month >= '{first}' AND month < '{last}' GROUP BY idCompany"""
+            for first, last in (("1998-01", "1999-01"), ("1998-06", "1999-06"), ("1995-01", "2000-01"))
+        ),
         "landing_pages": f"""SELECT id, "user", kind, value, props, updated_at, NULL::BIGINT AS rejected_id, NULL::VARCHAR AS reason
   FROM ({EVENT_LANDING}) WHERE id % 50 <> 0
   UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, id, 'does not fit' FROM ({EVENT_LANDING}) WHERE id % 50 = 0""",

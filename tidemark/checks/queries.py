@@ -12,6 +12,7 @@ from tidemark.checks.views import OWN, Sample
 from tidemark.functions.columns import epoch_text
 from tidemark.functions.dates import DateRange, month_ends
 from tidemark.operators.asof import asof_join, spine
+from tidemark.operators.bitmaps import ALL, distinct_counts, item_bitmaps
 from tidemark.operators.contract import feature_projection
 from tidemark.operators.dedup import latest_per_key, profile_key
 from tidemark.operators.features import (
@@ -35,7 +36,7 @@ from tidemark.operators.upsert import upsert
 from tidemark.plans import catalogue as cat
 from tidemark.plans.medallion import Ingest, bridge_table, entity_table, feature_inputs, ingest_stream, process_full, refresh, silver_tables
 from tidemark.sinks import KeyedTable, ensure_table, replace_partition, save_full, shared_dir, write_backfill
-from tidemark.sources import incremental_extract, read_accounted, read_landing, read_pages, read_partition, read_table, resolve_schema
+from tidemark.sources import extract_since_mark, incremental_extract, read_accounted, read_landing, read_pages, read_partition, read_table, resolve_schema
 from tidemark.streaming import stream_landing, upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,6 +203,8 @@ def _upsert_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(total(lines.where(~returned)), total(lines.where(returned)), keys)
 
 
+# Months of release from the first on, before the second.
+BITMAP_WINDOWS = (("1998-01", "1999-01"), ("1998-06", "1999-06"), ("1995-01", "2000-01"))
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
@@ -337,6 +340,33 @@ def _table_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, name)
 
 
+def _marked_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over a growing landing folder with a stored mark; the last finds nothing new."""
+    home, events = shared_dir(spark, "marked"), Sample(spark, sf_dir).table("events")
+    table = KeyedTable(spark, f"{home}/events", EVENT_SCHEMA, ["user_id"], "ts", "newest", tie=["event_id"])
+    table.ensure()
+    late = F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz")
+    for run, part in enumerate([events.where(late), events.where(~late), None]):
+        if part is not None:
+            part.write.mode("append").parquet(f"{home}/landing")
+        rows, move = extract_since_mark(spark, f"{home}/landing", f"{home}/mark.json", "parquet", EVENT_SCHEMA)
+        table.apply(rows, f"run-{run}")
+        move()
+    return table.read()
+
+
+def _bitmap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct items per company over overlapping windows, from bitmaps by month of release; every item is listed twice."""
+    s = Sample(spark, sf_dir)
+    items = s.items().select("idGame", F.date_format("dtRelease", "yyyy-MM").alias("month"))
+    credits = s.credits().join(items.unionAll(items), "idGame")
+    monthly = item_bitmaps(credits, "idCompany", "idGame", {n: p for n, p in ROLE_FLAGS.items()}, ["month"])
+    windows = [F.struct(F.lit(first).alias("from"), F.lit(last).alias("to")) for first, last in BITMAP_WINDOWS]
+    spread = monthly.withColumn("w", F.explode(F.array(*windows))).where("month >= w.from AND month < w.to")
+    keyed = spread.select("*", F.col("w.to").alias("until")).drop("w")
+    return distinct_counts(keyed, ["idCompany", "until"], {ALL: "qtdeGames", **{n: n for n in ROLE_FLAGS}})
+
+
 def _chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON landing to keyed tables, in two runs on one checkpoint, to entity tables, to features."""
     s, home, bronze = Sample(spark, sf_dir), shared_dir(spark, "chain"), {}
@@ -468,6 +498,8 @@ def queries() -> dict[str, Query]:
         "landing_json_roundtrip": _landing_json,
         "landing_bad_records": _landing_bad,
         "chain_landing_to_features": _chain,
+        "bronze_marked_extract": _marked_extract,
+        "bitmap_window_counts": _bitmap_counts,
         "landing_pages": _landing_pages,
         "landing_pages_inferred": _landing_inferred,
         "bronze_process_full": _process_full,

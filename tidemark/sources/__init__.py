@@ -6,12 +6,15 @@ from tidemark.sources.landing import (
     resolve_schema,
     save_schema,
 )
+from tidemark.sources.marks import extract_since_mark, load_mark
 from tidemark.sources.pages import infer_pages, read_pages
 from tidemark.sources.tables import read_partition, read_table
 
 __all__ = [
+    "extract_since_mark",
     "incremental_extract",
     "infer_pages",
+    "load_mark",
     "load_schema",
     "read_accounted",
     "read_landing",
