@@ -201,6 +201,7 @@ class _Session:
     def __init__(self, folder=None):
         self.conf = {"spark.checkpoint.dir": folder}
         self.sparkContext = self
+        self.master = "local[2]"
         self.set_to = None
 
     def getCheckpointDir(self):
