@@ -1,19 +1,22 @@
 """Substring deduplication over sliding spans of sentences.
 
-Each text is cut into sentences and every run of ``RUN`` consecutive sentences
-is hashed (128 bits). One aggregation over all runs finds, for each that occurs
-more than once, the document that keeps it: the one with the smallest id, which
-keeps its first occurrence. A join, split for hot runs, tells every other
-document which of its runs are repeats; the sentences they cover are removed.
-
-Sentences longer than ``MAX_WORDS`` are cut into pieces, so a repeated passage
-without punctuation is found too. Runs of fewer than ``MIN_WORDS`` words are
-left alone: a few one-word sentences in a row repeat by chance.
+Each text is cut into sentences and every run of at least ``RUN`` consecutive
+sentences, extended until it has ``MIN_WORDS`` words, is hashed (128 bits). One
+aggregation over all runs finds, for each that occurs more than once, the
+document that keeps it: the first in the order of id and text, which keeps its
+first occurrence. A join, split for hot runs, tells every other document which
+of its runs are repeats; the sentences they cover are removed.
+
+Sentences longer than ``MAX_WORDS`` are cut into pieces where the hash of two
+neighbouring words says so. The cuts of a passage are the same whatever stands
+before it, so a repeated passage is found without punctuation and with ends
+that differ.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import xxhash
@@ -21,9 +24,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import cut, join_counted, map_batches
 
-RUN = 3
-MAX_WORDS = 25
+RUN = 2
+MAX_WORDS = 16
 MIN_WORDS = 12
+# A long sentence is cut between one in so many pairs of words.
+CUT_ONE_IN = 8
 # Null ids come last in the order of documents.
 _LAST = (1 << 63) - 1
 
@@ -31,6 +36,16 @@ _END = re.compile(r"(?<=[.!?])\s+|\n+")
 _WORD = re.compile(r"\S+")
 
 
+def pieces(words: list[str], most: int) -> Iterator[tuple[int, int]]:
+    """(first, end) of the pieces of a long sentence, none of more than ``most`` words."""
+    first = 0
+    for i in range(1, len(words)):
+        if i - first >= most or zlib.crc32(f"{words[i - 1]} {words[i]}".encode("utf-8", "surrogatepass")) % CUT_ONE_IN == 0:
+            yield first, i
+            first = i
+    yield first, len(words)
+
+
 def sentences(text: str | None, max_words: int = MAX_WORDS) -> list[tuple[int, int, int, str]]:
     """(start, end, words, lowered words joined by spaces) of each sentence or piece, in code points."""
     found, start = [], 0
@@ -42,10 +57,8 @@ def sentences(text: str | None, max_words: int = MAX_WORDS) -> list[tuple[int, i
         split = part.lower().split()
         if len(split) > max_words:
             at = [(m.start(), m.end()) for m in _WORD.finditer(part)]
-            for i in range(0, len(at), max_words):
-                some = at[i : i + max_words]
-                s, e = some[0][0], some[-1][1]
-                found.append((start + s, start + e, len(some), " ".join(part[s:e].lower().split())))
+            for i, j in pieces(split, max_words):
+                found.append((start + at[i][0], start + at[j - 1][1], j - i, " ".join(split[i:j])))
         elif split:
             lead = len(part) - len(part.lstrip())
             found.append((start + lead, start + len(part.rstrip()), len(split), " ".join(split)))
@@ -53,17 +66,29 @@ def sentences(text: str | None, max_words: int = MAX_WORDS) -> list[tuple[int, i
     return found
 
 
-def runs(found: list[tuple[int, int, int, str]], run: int, min_words: int) -> Iterator[tuple[int, bytes]]:
-    """(position, 128-bit hash) of each run of consecutive sentences with enough words."""
+def spans(found: list[tuple[int, int, int, str]], run: int, min_words: int) -> Iterator[tuple[int, int]]:
+    """(first, end) of each run: ``run`` consecutive sentences and as many more as make ``min_words`` words."""
     for i in range(len(found) - run + 1):
-        some = found[i : i + run]
-        if sum(s[2] for s in some) >= min_words:
-            yield i, xxhash.xxh3_128_digest("\n".join(s[3] for s in some).encode("utf-8", "surrogatepass"))
+        if (end := _end(found, i, run, min_words)) is None:
+            return  # nor do later ones have enough words
+        yield i, end
 
 
-def _key(text: str | None) -> int:
-    """Tells texts apart that share an id."""
-    return xxhash.xxh64_intdigest((text or "").encode("utf-8", "surrogatepass")) - (1 << 63)
+def _end(found: list[tuple[int, int, int, str]], first: int, run: int, min_words: int) -> int | None:
+    end = first + run
+    n = sum(s[2] for s in found[first:end])
+    while n < min_words:
+        if end == len(found):
+            return None
+        n += found[end][2]
+        end += 1
+    return end
+
+
+def runs(found: list[tuple[int, int, int, str]], run: int, min_words: int) -> Iterator[tuple[int, bytes]]:
+    """(position, 128-bit hash) of each run."""
+    for i, end in spans(found, run, min_words):
+        yield i, xxhash.xxh3_128_digest("\n".join(s[3] for s in found[i:end]).encode("utf-8", "surrogatepass"))
 
 
 def substring_dedup(
@@ -77,44 +102,45 @@ def substring_dedup(
     """Each document without the sentences that a repeated run covers, first occurrences excepted.
 
     The first occurrence of a run is the earliest in the document with the
-    smallest id; null ids come last. Documents that share an id (repeated rows
-    too) count as one in that order: none takes a run from the other. Case and
-    white space within a sentence do not matter. Null texts stay null; empty
-    ones, and those of fewer sentences than a run, stay as they are. An empty
-    table gives an empty result, other columns are ignored.
+    smallest id; null ids come last, and equal ids (null ones too) are ordered
+    by a hash of their texts. Rows that repeat both id and text cannot be told
+    apart and count as one: none takes a run from the other. Case and white
+    space within a sentence do not matter. Null texts stay null; empty ones, and
+    those without a run, stay as they are. An empty table gives an empty result,
+    other columns are ignored.
 
     Returns doc_id, n_sentences, n_removed, removed (start:end of the removed
     sentences in code points, comma-joined) and text (what is left, each
     sentence with the white space that followed it).
     """
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.select(
+        "doc_id", F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("key"), "text"
+    )
 
     def hashed(batch):
-        doc, key, pos, h1, h2 = [], [], [], [], []
-        for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        columns = {n: [] for n in ("doc", "key", "pos", "h1", "h2")}
+        doc, key, pos, h1, h2 = columns.values()
+        for d, own, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
             seen: set[bytes] = set()
-            own = _key(text)
             for i, digest in runs(sentences(text, max_words), run, min_words):
-                if digest not in seen:  # later ones in the same text are repeats anyhow
-                    seen.add(digest)
-                    doc.append(_LAST if d is None else d), key.append(own), pos.append(i)
-                    h1.append(int.from_bytes(digest[:8], "little", signed=True))
-                    h2.append(int.from_bytes(digest[8:], "little", signed=True))
-        yield {"doc": doc, "key": key, "pos": pos, "h1": h1, "h2": h2}
+                doc.append(d), key.append(own), pos.append(i)
+                if digest in seen:  # a repeat whatever other texts hold
+                    h1.append(None), h2.append(None)
+                    continue
+                seen.add(digest)
+                h1.append(int.from_bytes(digest[:8], "little", signed=True))
+                h2.append(int.from_bytes(digest[8:], "little", signed=True))
+        yield columns
 
     def cleaned(batch):
         columns = {n: [] for n in ("doc_id", "n_sentences", "n_removed", "removed", "text")}
         for d, text, repeats in zip(*(batch.column(i).to_pylist() for i in range(3))):
             found = sentences(text, max_words)
-            starts, seen = set(repeats or ()), set()
-            for i, digest in runs(found, run, min_words):
-                if digest in seen:
-                    starts.add(i)
-                seen.add(digest)
-            out = {i + j for i in starts for j in range(run)}
+            out = {j for i in repeats or () for j in range(i, _end(found, i, run, min_words))}
             # Up to the next sentence belongs to a sentence; what precedes the first stays.
             begins = [f[0] for f in found] + [len(text or "")]
-            left = None if text is None else text[: begins[0]] + "".join(
+            left = text if not out else text[: begins[0]] + "".join(
                 text[begins[i] : begins[i + 1]] for i in range(len(found)) if i not in out
             )
             columns["doc_id"].append(d)
@@ -124,22 +150,30 @@ def substring_dedup(
             columns["text"].append(left)
         yield columns
 
-    occurrences = map_batches(slim, hashed, "doc long, key long, pos int, h1 long, h2 long")
+    # Texts are cut and hashed once; all else reads what was kept of it.
+    occurrences = cut(map_batches(rows.select("doc", "key", "text"), hashed, "doc long, key long, pos int, h1 long, h2 long"))
+    once = occurrences.where("h1 is not null")
+    order = F.struct("doc", "key")
     repeated = cut(
-        occurrences.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1")
-    )
-    repeats = (
-        join_counted(occurrences, repeated, ["h1", "h2"], "n", F.xxhash64("doc", "key"))
-        .where("doc > first")
+        once.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"))
+        .where("n > 1 and first < last")
+        .drop("last")
+    )
+    later = join_counted(once, repeated, ["h1", "h2"], "n", F.xxhash64("doc", "key")).where(order > F.col("first"))
+    starts = (
+        later.select("doc", "key", "pos")
+        .unionAll(occurrences.where("h1 is null").select("doc", "key", "pos"))
         .groupBy("doc", "key")
         .agg(F.collect_set("pos").alias("repeats"))
     )
-
-    def keyed(batch):
-        yield {"doc_id": batch.column(0), "text": batch.column(1), "key": [_key(t) for t in batch.column(1).to_pylist()]}
-
-    rows = map_batches(slim, keyed, "doc_id long, text string, key long").withColumn(
-        "doc", F.coalesce("doc_id", F.lit(_LAST))
+    sizes = rows.groupBy("doc", "key").agg(F.count("*").alias("rows"))
+    # Rows that repeat whole meet their list split by where they stand.
+    met = join_counted(
+        rows.withColumn("row", F.monotonically_increasing_id()),
+        cut(starts.join(sizes, ["doc", "key"])), ["doc", "key"], "rows", F.col("row"), how="left",
+    )
+    return map_batches(
+        met.select("doc_id", "text", "repeats"),
+        cleaned,
+        "doc_id long, n_sentences long, n_removed long, removed string, text string",
     )
-    joined = rows.join(repeats, ["doc", "key"], "left").select("doc_id", "text", "repeats")
-    return map_batches(joined, cleaned, "doc_id long, n_sentences long, n_removed long, removed string, text string")
