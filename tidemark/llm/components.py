@@ -29,16 +29,10 @@ def components(edges: DataFrame) -> DataFrame:
     while before != after and after[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("least"), F.count("*").alias("n"))
-        # A node without a smaller neighbour keeps its edges: no join for the roots' stars.
-        moved = least.where("least < a")
-        stay = edges.select("a", "b").join(
-            moved.select(F.col("a").alias("b")), "b", "left_anti"
-        ).select("a", "b")
-        turned = (
-            join_counted(both.where("b > a"), cut(moved), ["a"], "n", F.col("b"))
-            .select(F.col("b").alias("a"), F.col("least").alias("b"))
-        )
-        large = cut(stay.unionByName(turned).where("a <> b").distinct())
+        # Each edge is known by its smaller end, whose least node (itself, for a root) takes the larger end.
+        ends = edges.select(F.col("b").alias("a"), F.col("a").alias("larger"))
+        turned = join_counted(ends, cut(least), ["a"], "n", F.col("larger"))
+        large = cut(turned.select(F.col("larger").alias("a"), F.col("least").alias("b")).where("a <> b").distinct())
         least = cut(large.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("n")))
         small = join_counted(large, least, ["a"], "n", F.col("b")).select(F.col("b").alias("a"), F.col("least").alias("b"))
         edges = cut(least.select("a", F.col("least").alias("b")).unionByName(small).where("a <> b").distinct())
