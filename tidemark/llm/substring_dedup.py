@@ -18,7 +18,10 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
+import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -32,15 +35,31 @@ CUT_ONE_IN = 8
 # Null ids come last in the order of documents.
 _LAST = (1 << 63) - 1
 
-_END = re.compile(r"(?<=[.!?])\s+|\n+")
+# A sentence ends at a line's end, and at one of these marks if white space follows.
+_END = re.compile(r"[.!?\n]\s*")
 _WORD = re.compile(r"\S+")
 
 
+class _Hashes(dict):
+    """Hashes of the words met so far, by worker."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = found = zlib.crc32(word.encode("utf-8", "surrogatepass"))
+        return found
+
+
+_hashes = _Hashes()
+_CACHE = 500_000
+
+
 def pieces(words: list[str], most: int) -> Iterator[tuple[int, int]]:
     """(first, end) of the pieces of a long sentence, none of more than ``most`` words."""
+    if len(_hashes) > _CACHE:
+        _hashes.clear()
+    own = [_hashes[w] for w in words]
     first = 0
-    for i in range(1, len(words)):
-        if i - first >= most or zlib.crc32(f"{words[i - 1]} {words[i]}".encode("utf-8", "surrogatepass")) % CUT_ONE_IN == 0:
+    for i, (a, b) in enumerate(zip(own, own[1:]), 1):
+        if (a // CUT_ONE_IN + b) % CUT_ONE_IN == 0 or i - first >= most:
             yield first, i
             first = i
     yield first, len(words)
@@ -51,14 +70,26 @@ def sentences(text: str | None, max_words: int = MAX_WORDS) -> list[tuple[int, i
     found, start = [], 0
     if not text:
         return found
-    stops = [(m.start(), m.end()) for m in _END.finditer(text)] + [(len(text), len(text))]
-    for stop, after in stops:
+    for stop, after in [*(m.span() for m in _END.finditer(text)), (len(text), len(text))]:
+        if stop < len(text) and text[stop] != "\n":
+            stop += 1
+            if stop == after < len(text):
+                continue
         part = text[start:stop]
         split = part.lower().split()
         if len(split) > max_words:
-            at = [(m.start(), m.end()) for m in _WORD.finditer(part)]
+            as_is = part.split()
+            if " ".join(as_is) == part.strip():  # one space between words: their lengths tell where they are
+                at, begins = start + len(part) - len(part.lstrip()), None
+            else:
+                begins = [m.span() for m in _WORD.finditer(part)]
             for i, j in pieces(split, max_words):
-                found.append((start + at[i][0], start + at[j - 1][1], j - i, " ".join(split[i:j])))
+                if begins is None:
+                    end = at + len(" ".join(as_is[i:j]))
+                    found.append((at, end, j - i, " ".join(split[i:j])))
+                    at = end + 1
+                else:
+                    found.append((start + begins[i][0], start + begins[j - 1][1], j - i, " ".join(split[i:j])))
         elif split:
             lead = len(part) - len(part.lstrip())
             found.append((start + lead, start + len(part.rstrip()), len(split), " ".join(split)))
@@ -68,27 +99,22 @@ def sentences(text: str | None, max_words: int = MAX_WORDS) -> list[tuple[int, i
 
 def spans(found: list[tuple[int, int, int, str]], run: int, min_words: int) -> Iterator[tuple[int, int]]:
     """(first, end) of each run: ``run`` consecutive sentences and as many more as make ``min_words`` words."""
+    ahead = [0, *accumulate(f[2] for f in found)]
+    end = run
     for i in range(len(found) - run + 1):
-        if (end := _end(found, i, run, min_words)) is None:
-            return  # nor do later ones have enough words
+        end = max(end, i + run)
+        while ahead[end] - ahead[i] < min_words:
+            if end == len(found):
+                return  # nor do later ones have enough words
+            end += 1
         yield i, end
 
 
-def _end(found: list[tuple[int, int, int, str]], first: int, run: int, min_words: int) -> int | None:
-    end = first + run
-    n = sum(s[2] for s in found[first:end])
-    while n < min_words:
-        if end == len(found):
-            return None
-        n += found[end][2]
-        end += 1
-    return end
-
-
 def runs(found: list[tuple[int, int, int, str]], run: int, min_words: int) -> Iterator[tuple[int, bytes]]:
     """(position, 128-bit hash) of each run."""
+    texts = [f[3] for f in found]
     for i, end in spans(found, run, min_words):
-        yield i, xxhash.xxh3_128_digest("\n".join(s[3] for s in found[i:end]).encode("utf-8", "surrogatepass"))
+        yield i, xxhash.xxh3_128_digest("\n".join(texts[i:end]).encode("utf-8", "surrogatepass"))
 
 
 def substring_dedup(
@@ -119,25 +145,27 @@ def substring_dedup(
     )
 
     def hashed(batch):
-        columns = {n: [] for n in ("doc", "key", "pos", "h1", "h2")}
-        doc, key, pos, h1, h2 = columns.values()
+        doc, key, pos, digests, again = [], [], [], [], []
         for d, own, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
             seen: set[bytes] = set()
             for i, digest in runs(sentences(text, max_words), run, min_words):
-                doc.append(d), key.append(own), pos.append(i)
-                if digest in seen:  # a repeat whatever other texts hold
-                    h1.append(None), h2.append(None)
-                    continue
+                pos.append(i)
+                digests.append(digest)
+                again.append(digest in seen)  # a repeat whatever other texts hold
                 seen.add(digest)
-                h1.append(int.from_bytes(digest[:8], "little", signed=True))
-                h2.append(int.from_bytes(digest[8:], "little", signed=True))
-        yield columns
+            doc += [d] * (len(pos) - len(doc))
+            key += [own] * (len(pos) - len(key))
+        halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
+        mask = np.array(again, dtype=bool)
+        h1, h2 = (pa.array(np.ascontiguousarray(halves[:, i]), mask=mask) for i in (0, 1))
+        yield {"doc": doc, "key": key, "pos": pos, "h1": h1, "h2": h2}
 
     def cleaned(batch):
         columns = {n: [] for n in ("doc_id", "n_sentences", "n_removed", "removed", "text")}
         for d, text, repeats in zip(*(batch.column(i).to_pylist() for i in range(3))):
             found = sentences(text, max_words)
-            out = {j for i in repeats or () for j in range(i, _end(found, i, run, min_words))}
+            ends = dict(spans(found, run, min_words)) if repeats else {}
+            out = {j for i in repeats or () for j in range(i, ends[i])}
             # Up to the next sentence belongs to a sentence; what precedes the first stays.
             begins = [f[0] for f in found] + [len(text or "")]
             left = text if not out else text[: begins[0]] + "".join(
