@@ -10,8 +10,9 @@ def plain(docs, items):
     out = []
     for doc, text in docs:
         for item, item_text in set(items):
-            g = brute.grams(item_text)
-            shared = len(g & brute.grams(text))
+            n = min(5, len(brute.words(item_text)))
+            g = brute.grams(item_text, n) if n else frozenset()
+            shared = len(g & brute.grams(text, n)) if n else 0
             if g and shared >= 0.8 * len(g):
                 out.append((doc, item, shared, len(g)))
     return sorted(out, key=str)
@@ -20,7 +21,7 @@ def plain(docs, items):
 def _data():
     rng = random.Random(2)
     words = lambda n: [f"w{rng.randint(0, 400)}" for _ in range(n)]
-    items = [(i, " ".join(words(rng.randint(3, 60)))) for i in range(30)] + [(7, None), (8, ""), (None, " ".join(words(9)))]
+    items = [(i, " ".join(words(rng.choice([1, 2, 4, rng.randint(3, 60)])))) for i in range(30)] + [(7, None), (8, ""), (None, " ".join(words(9)))]
     items += [items[12], (99, items[12][1])]
     docs = []
     for d in range(120):
@@ -56,3 +57,10 @@ def test_empty(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     assert find_leaks(edges.empty(spark), items).collect() == [] == find_leaks(edges.documents(spark), items).collect()
     assert drop_leaks(edges.documents(spark), items).count() == len(edges.ROWS)
+
+
+def test_short_items_at_their_own_length(spark):
+    items = spark.createDataFrame([(1, "the answer is"), (2, "Answer"), (3, "is the answer")], "item_id long, text string")
+    docs = edges.documents(spark, [(1, "So THE answer is this.", "en", "s"), (2, "the answers is", "en", "s")])
+    got = find_leaks(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id, r.shared, r.item_shingles) for r in got) == [(1, 1, 1, 1), (1, 2, 1, 1)]

@@ -49,54 +49,60 @@ def shingle_hashes(words: list[bytes], n: int, cache: dict[bytes, int]) -> np.nd
 
 
 class Sketches:
-    """The items of one block by size partition: sketch hashes to look up, shingles to verify with."""
+    """The items of one block by length of shingles and size partition: sketch hashes to look up, shingles to verify with.
+
+    An item of fewer words than a shingle is one shingle of all its words.
+    """
 
     def __init__(self, items: list[tuple[int | None, bytes]], shingle: int, threshold: float) -> None:
-        self.shingle, self.threshold = shingle, threshold
+        self.threshold = threshold
         self.ids: list[int | None] = []
         self.grams: list[set[bytes]] = []
-        hashes, owners, sizes = [], [], []
+        sketches: dict[int, list[tuple[np.ndarray, int]]] = {}
+        sizes = []
         cache: dict[bytes, int] = {}
         for item, text in items:
             words = words_of(text)
-            grams = {b" ".join(words[i : i + shingle]) for i in range(len(words) - shingle + 1)}
-            if not grams:
+            if not words:
                 continue
+            length = min(shingle, len(words))
+            grams = {b" ".join(words[i : i + length]) for i in range(len(words) - length + 1)}
             top = (1 << len(grams).bit_length()) - 1  # the largest size of the partition
             k = top - ceil(threshold * top - 1e-9) + 1
-            sketch = np.sort(np.unique(shingle_hashes(words, shingle, cache)))[:k]
-            hashes.append(sketch)
-            owners.append(np.full(len(sketch), len(self.ids)))
+            sketch = np.sort(np.unique(shingle_hashes(words, length, cache)))[:k]
+            sketches.setdefault(length, []).append((sketch, len(self.ids)))
             # The smallest document that can hold enough of any item of the partition.
             sizes.append(ceil(threshold * ((top + 1) // 2) - 1e-9))
             self.ids.append(item)
             self.grams.append(grams)
-        self.hashes = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)
-        self.owners = np.concatenate(owners) if owners else np.zeros(0, dtype=np.int64)
         self.least = np.array(sizes, dtype=np.int64)
-        order = np.argsort(self.hashes, kind="stable")
-        self.hashes, self.owners = self.hashes[order], self.owners[order]
-        self.distinct = np.unique(self.hashes)
+        # By length: hashes in order, the item of each, and the distinct hashes.
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for length, found in sorted(sketches.items()):
+            hashes = np.concatenate([h for h, _ in found])
+            owners = np.concatenate([np.full(len(h), at) for h, at in found])
+            order = np.argsort(hashes, kind="stable")
+            self.tables[length] = hashes[order], owners[order], np.unique(hashes)
 
     def matches(self, text: bytes | None, cache: dict[bytes, int]) -> list[tuple[int | None, int, int]]:
         """(item id, shingles found, shingles of the item) of the items that ``text`` contains."""
-        words = words_of(text)
-        own = shingle_hashes(words, self.shingle, cache)
-        if not own.size or not self.distinct.size:
-            return []
-        at = np.searchsorted(self.distinct, own)
-        at[at == len(self.distinct)] = 0
-        hit = np.unique(own[self.distinct[at] == own])
-        if not hit.size:
-            return []
-        lo, hi = np.searchsorted(self.hashes, hit), np.searchsorted(self.hashes, hit, side="right")
-        candidates = np.unique(np.concatenate([self.owners[a:b] for a, b in zip(lo, hi)]))
-        grams = {b" ".join(words[i : i + self.shingle]) for i in range(len(words) - self.shingle + 1)}
-        found = []
-        for c in candidates[self.least[candidates] <= len(grams)]:
-            shared, size = len(self.grams[c] & grams), len(self.grams[c])
-            if shared >= self.threshold * size - 1e-9:
-                found.append((self.ids[c], shared, size))
+        words, found = words_of(text), []
+        for length, (hashes, owners, distinct) in self.tables.items():
+            own = shingle_hashes(words, length, cache)
+            if not own.size:
+                continue
+            at = np.searchsorted(distinct, own)
+            at[at == len(distinct)] = 0
+            hit = np.unique(own[distinct[at] == own])
+            if not hit.size:
+                continue
+            lo, hi = np.searchsorted(hashes, hit), np.searchsorted(hashes, hit, side="right")
+            candidates = np.unique(np.concatenate([owners[a:b] for a, b in zip(lo, hi)]))
+            grams = {b" ".join(words[i : i + length]) for i in range(len(words) - length + 1)}
+            for c in candidates[self.least[candidates] <= len(grams)]:
+                shared, size = len(self.grams[c] & grams), len(self.grams[c])
+                if shared >= self.threshold * size - 1e-9:
+                    found.append((self.ids[c], shared, size))
         return found
 
 
@@ -126,8 +132,9 @@ def find_leaks(
     """The pairs of a document and a test item of which it holds the share ``threshold`` of distinct word shingles.
 
     Words are lowered (A-Z only) and cut at spaces and control characters 9 to
-    13. Items of fewer words than a shingle, empty or null ones, have none and
-    match nothing; so do such documents. Rows that repeat id and text of an
+    13. An item of fewer words than a shingle is one shingle of all its words,
+    and a document holds it or not. Empty or null items and documents match
+    nothing. Rows that repeat id and text of an
     item count once; repeated documents give a row each; null ids are carried
     along. Empty tables give an empty result, other columns are ignored.
 

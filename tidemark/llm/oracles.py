@@ -10,17 +10,22 @@ FROM (
 )
 """
 
-# Words as Spark's: cut at space and the controls 9 to 13; shingles of five.
-_SHINGLES = f"""
-SELECT DISTINCT %s, list_aggregate(w[i:i + 4], 'string_agg', ' ') AS gram
-FROM (
-    SELECT %s, w, unnest(range(1, len(w) - 3)) AS i
-    FROM (SELECT %s, list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM %s)
-)
-"""
+# Words as Spark's: cut at space and the controls 9 to 13.
+_WORDS = f"list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+# Shingles of five words; an item of fewer is one shingle of all its words.
 DECONTAMINATION = f"""
-WITH items AS ({_SHINGLES % (("item_id",) * 3 + ("benchmark",))}),
-docs AS ({_SHINGLES % (("doc_id",) * 3 + ("documents",))}),
+WITH item_words AS (SELECT item_id, w, least(5, len(w)) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+items AS (
+    SELECT DISTINCT item_id, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') AS gram
+    FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM item_words)
+),
+doc_words AS (
+    SELECT doc_id, w, n FROM (SELECT doc_id, {_WORDS} AS w FROM documents), (SELECT DISTINCT n FROM item_words) WHERE len(w) >= n
+),
+docs AS (
+    SELECT DISTINCT doc_id, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') AS gram
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words)
+),
 sizes AS (SELECT item_id, count(*) AS item_shingles FROM items GROUP BY item_id)
 SELECT doc_id, item_id, count(*) AS shared, item_shingles, count(*) / item_shingles AS containment
 FROM docs JOIN items USING (gram) JOIN sizes USING (item_id)
