@@ -4,7 +4,7 @@ import zlib
 import pytest
 
 from tests.llm import edges
-from tidemark.llm.language_id import Model, drop_unrecognised, grams, language_id
+from tidemark.llm.language_id import Model, drop_unrecognised, fit, grams, language_id, words
 
 SYLLABLES = {"aa": ["ka", "to", "mi", "ru"], "bb": ["sch", "ung", "ver", "ein"], "cc": ["eau", "oi", "ch", "ré"]}
 
@@ -57,3 +57,18 @@ def test_empty(spark):
     assert language_id(edges.empty(spark)).collect() == [] == drop_unrecognised(edges.empty(spark)).collect()
     unlabelled = edges.documents(spark, [(1, "some words", None, "s")])
     assert [tuple(r)[2:] for r in language_id(unlabelled).collect()] == [("und", 0.0)]
+
+
+def test_numerals_are_no_letters(spark):
+    assert words("½ ² Ⅷ x²y ٣ Œuvre") == ["x", "y", "œuvre"]
+    rows = _corpus() + [(2000, "½ ²", None, "s"), (2001, "Ⅷ", None, "s")]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id(edges.documents(spark, rows)).collect()}
+    assert got[2000] == got[2001] == ("und", 0.0)
+
+
+def test_draw_is_bounded_by_id_and_text(spark):
+    """A third of all rows share the null id: their texts are drawn one by one, whole repeats count once."""
+    rows = _corpus(600) + [(None, t, lang, s) for _, t, lang, s in _corpus(300)] + [(None, "ka to mi", "aa", "s")] * 200
+    docs = edges.documents(spark, rows)
+    model = fit(docs, docs_per_lang=100)
+    assert model.langs == ["aa", "bb", "cc"] and model.predict("eauoi chré")[0] == "cc"

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from itertools import groupby
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -19,7 +20,7 @@ from tidemark.llm.common import fresh, map_batches
 
 MAX_N = 5
 # The model is fitted on about so many documents of each language (all, if there
-# are fewer), chosen by a hash of the id; a word or n-gram seen once is not learned.
+# are fewer), chosen by a hash of id and text; a word or n-gram seen once is not learned.
 DOCS_PER_LANG = 2500
 MIN_COUNT = 2
 UNKNOWN = "und"
@@ -35,7 +36,10 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def words(text: str | None) -> list[str]:
     """Lowered runs of letters."""
-    return _WORD.findall(text.lower()) if text else []
+    found = _WORD.findall(text.lower()) if text else []
+    if found and not "".join(found).isalpha():  # numerals such as those of Rome or one half
+        found = ["".join(run) for w in found for letters, run in groupby(w, str.isalpha) if letters]
+    return found
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -127,8 +131,9 @@ def fit(
     if not sizes:
         return Model([], max_n)
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, docs_per_lang / n))])
-    draw = F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = labelled.where(draw < share[F.col("lang")]).select("text", "lang")
+    draw = F.pmod(F.xxhash64("id", "text", F.lit("language")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # Rows that repeat whole fall in or out together: they count once.
+    sample = labelled.where(draw < share[F.col("lang")]).distinct().select("text", "lang")
 
     def count(batch):
         seen: Counter = Counter()
