@@ -148,13 +148,21 @@ def fit(
     prior = (seen.toxic or 0) / seen.n if seen.n else 0.0
     if not 0 < prior < 1:
         return prior
-    draw = F.pmod(F.xxhash64("id", F.lit("toxicity")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    def draw(*what):
+        return F.pmod(F.xxhash64(*what, F.lit("toxicity")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    chosen = marks.where((F.col("toxic") == 1) & (draw < positives / seen.toxic)).select("id")
-    toxic = texts.join(F.broadcast(chosen), "id").withColumn("member", F.explode(F.sequence(F.lit(0), F.lit(members - 1))))
+    chosen = marks.where((F.col("toxic") == 1) & (draw("id") < positives / seen.toxic)).select("id")
+    # Rows that share an id share its label: beyond twice the bound, a second draw goes by id and text.
+    rows = texts.join(F.broadcast(chosen), "id")
+    found = rows.select("id").count()
+    if found > 2 * positives:
+        rows = rows.where(draw("id", "text") < 2 * positives / found)
+    # Rows that repeat whole fall in or out together: they count once.
+    toxic = rows.distinct().withColumn("member", F.explode(F.sequence(F.lit(0), F.lit(members - 1))))
     n = texts.count()
     share = min(1 / members, unlabelled / max(n, 1))
-    other = texts.withColumn("member", F.floor(draw / share).cast("int")).where(F.col("member") < members)
+    other = texts.withColumn("member", F.floor(draw("id", "text") / share).cast("int")).where(F.col("member") < members).distinct()
 
     def featured(batch):
         yield {
