@@ -2,6 +2,7 @@ import hashlib
 
 import pytest
 
+from tests.llm import edges
 from tidemark.llm.exact_dedup import drop_exact_duplicates, exact_dedup
 
 ROWS = [
@@ -41,3 +42,9 @@ def test_rows_that_stay(spark, rows):
 def test_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert exact_dedup(empty).collect() == [] and drop_exact_duplicates(empty).collect() == []
+
+
+def test_rows_that_repeat_id_and_text_stay_by_a_fixed_choice(spark):
+    rows = [(1, "same text", lang, source) for lang in ("en", "fr", None) for source in ("a", "b")] * 50
+    kept = [drop_exact_duplicates(edges.documents(spark, r).repartition(n)).collect() for r, n in ((rows, 3), (rows[::-1], 5))]
+    assert kept[0] == kept[1] and len(kept[0]) == 1

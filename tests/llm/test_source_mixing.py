@@ -19,7 +19,7 @@ def _rows():
     return out
 
 
-def _plain(facts, fraction):
+def plain(facts, fraction, sweeps=200):
     """Weights and probabilities of the cells of (source, lang, topic, tokens) rows."""
     tokens = defaultdict(int)
     for *cell, n in facts:
@@ -32,7 +32,7 @@ def _plain(facts, fraction):
             raw[c[i]] += n
         raw = {v: n ** FLATTEN[m] if n else 0.0 for v, n in raw.items()}
         goals.append({v: r / sum(raw.values()) for v, r in raw.items()})
-    for _ in range(200):
+    for _ in range(sweeps):
         for i in range(3):
             sums = defaultdict(float)
             for c, w in weight.items():
@@ -54,11 +54,11 @@ def test_equals_brute_force(spark):
     got = found.collect()
     topic, tokens, weight, probability, sampled = range(len(docs.columns), len(docs.columns) + 5)
     assert len(got) == len(rows)
-    want = _plain([(r.source or "", r.lang or "", r[topic], r[tokens]) for r in got], 0.6)
+    want = plain([(r.source or "", r.lang or "", r[topic], r[tokens]) for r in got], 0.6)
     for r in got:
         w, p = want[r.source or "", r.lang or "", r[topic]]
         assert r[weight] == pytest.approx(w, abs=2e-4) and r[probability] == pytest.approx(p, abs=2e-2)
-        assert r[tokens] == -(-len(r.text.encode()) // 4)
+        assert r[tokens] == len(r.text.split())
     by_id = {r.doc_id: r[topic] for r in got}
     assert all(by_id[i] == ("legal" if "Copyright" in t or "LICENSE" in t else "security" if "password" in t else "contact" if "@" in t else "general") for i, t, *_ in _rows())
     assert sum(r[tokens] for r in got if r[sampled]) == pytest.approx(0.6 * sum(r[tokens] for r in got), rel=0.2)
@@ -88,6 +88,13 @@ def test_given_targets(spark):
     assert share["c"] == 0 and share["b"] / total == pytest.approx(0.8, abs=0.01) and share["en"] / total == pytest.approx(0.5, abs=0.01)
 
 
+def test_tells_when_margins_still_miss(spark):
+    rows = [(1, "one two", "en", "a"), (2, "one two", "fr", "b")]  # no cell can serve both margins
+    targets = {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.1, "fr": 0.9}}
+    with pytest.warns(UserWarning, match="margin off by"):
+        mix(edges.documents(spark, rows), targets=targets, max_sweeps=2)
+
+
 def test_empty(spark):
     assert mix(edges.empty(spark)).collect() == [] == mixed_sample(edges.empty(spark)).collect()
 

@@ -114,7 +114,9 @@ def with_digest(docs: DataFrame, text_col: str, name: str) -> DataFrame:
 def keep_rows(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of ``docs`` whose (``doc_id``, ``digest``) is in ``keys``, each pair once.
 
-    Null ids match null ids. Rows that repeat both id and text are one document.
+    Null ids match null ids. Rows that repeat both id and text are one document:
+    if they differ elsewhere, the one whose columns have the smallest hash stays.
+    They are folded by task before they meet, however many they are.
     """
     digest, key, none = (fresh(docs, n) for n in ("_digest", "_key", "_none"))
     match = [key, none, digest]
@@ -124,4 +126,11 @@ def keep_rows(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> D
     right = keys.select(
         F.coalesce("doc_id", F.lit(0)).alias(key), F.col("doc_id").isNull().alias(none), F.col("digest").alias(digest)
     )
-    return left.join(right, match, "left_semi").dropDuplicates(match).select(*docs.columns)
+    # Maps and the like cannot be hashed; as text they can.
+    plain = {f.name: not any(kind in f.dataType.simpleString() for kind in ("map<", "variant")) for f in docs.schema}
+    hashed = [F.col(f"`{n}`") if plain[n] else F.to_json(F.struct(f"`{n}`")) for n in docs.columns]
+    row = fresh(docs, "_row")
+    folded = left.groupBy(*match).agg(
+        F.min_by(F.struct(*[F.col(f"`{n}`") for n in docs.columns]), F.xxhash64(*hashed)).alias(row)
+    )
+    return folded.join(right, match, "left_semi").select(f"{row}.*")

@@ -14,6 +14,7 @@ documents, and only totals of one row reach the driver.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -24,8 +25,7 @@ MARGINS = ("source", "lang", "topic")
 # Targets by default: each share in proportion to tokens to this power.
 FLATTEN = {"source": 0.5, "lang": 0.5, "topic": 0.7}
 FRACTION = 0.5
-# Where words are not counted, tokens are estimated from the bytes of a text.
-BYTES_PER_TOKEN = 4.0
+# Raking ends after so many sweeps at the latest, with a warning if a margin is still off.
 MAX_SWEEPS = 20
 TOLERANCE = 1e-4
 # Up to so many cells, their table is broadcast (about 100 bytes each).
@@ -56,10 +56,10 @@ def _topic(text: Column, topics: Mapping[str, tuple[str, ...]]) -> Column:
     return F.greatest(*ranked)["topic"]
 
 
-def _facts(docs: DataFrame, text_col: str, source_col: str, lang_col: str, topics, names: dict[str, str], words: bool) -> DataFrame:
+def _facts(docs: DataFrame, text_col: str, source_col: str, lang_col: str, topics, names: dict[str, str]) -> DataFrame:
     """``docs`` with the columns named in ``names``: the margins and tokens."""
     text = F.col(text_col).cast("string")
-    tokens = F.regexp_count(text, F.lit(r"\S+")) if words else F.ceil(F.octet_length(text) / BYTES_PER_TOKEN)
+    tokens = F.regexp_count(text, F.lit(r"\S+"))
     return docs.withColumns(
         {
             names["source"]: F.coalesce(F.col(source_col).cast("string"), F.lit("")),
@@ -99,14 +99,15 @@ def rake(
     """``cells`` (source, lang, topic, tokens, ...) with ``weight``: shares that fit the margins' targets.
 
     Stops when a sweep found no margin off by more than ``tolerance``, or after
-    ``max_sweeps``, as where targets contradict each other or cells are missing.
+    ``max_sweeps``, as where targets contradict each other or cells are missing;
+    a warning then tells how far the worst margin is off.
     """
     columns = cells.columns
     total = cells.agg(F.sum("tokens")).first()[0] or 1
     now, values = cells.withColumn("weight", F.col("tokens") / F.lit(total)), {}
     for m in MARGINS:
         now, values[m] = _with_shares(now, m, (targets or {}).get(m))
-    now = cut(now)
+    now, worst = cut(now), 0.0
     for _ in range(max_sweeps):
         found = []
         for m in MARGINS:
@@ -124,8 +125,11 @@ def rake(
             now = now.join(factors, m).withColumn("weight", F.col("weight") * F.col("_factor")).drop("_factor")
         now = cut(now)
         off = found[0].select("off").unionAll(found[1].select("off")).unionAll(found[2].select("off"))
-        if (off.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
+        worst = off.agg(F.max("off")).first()[0] or 0.0
+        if worst <= tolerance:
             break
+    if worst > tolerance:
+        warnings.warn(f"raking ended after {max_sweeps} sweeps with a margin off by {worst:.2g}", stacklevel=2)
     return now.select(*columns, "weight")
 
 
@@ -166,19 +170,16 @@ def mix(
     topics: Mapping[str, tuple[str, ...]] = TOPICS,
     seed: str = "mix",
     max_sweeps: int = MAX_SWEEPS,
-    words: bool = False,
 ) -> DataFrame:
     """``docs`` with all its columns and topic, tokens, weight, probability, sampled (named anew where taken).
 
-    Tokens are words, cut at spaces and control characters 9 to 13, if ``words``
-    is set, as the registered query and the pipeline do; otherwise an estimate
-    from bytes. A topic is that of the stems the text has most of; null texts count as
+    Tokens are words, cut at spaces and control characters 9 to 13. A topic is that of the stems the text has most of; null texts count as
     empty and have no tokens. Null sources and languages count as empty names.
     Values without a target, where targets are given, have share 0. Equal rows
     are taken or left together. An empty table gives an empty result.
     """
     names = {n: fresh(docs, f"_{n}") for n in (*MARGINS, "tokens")}
-    rows = _facts(docs, text_col, source_col, lang_col, topics, names, words)
+    rows = _facts(docs, text_col, source_col, lang_col, topics, names)
     cells = cut(
         rows.select(*[F.col(names[n]).alias(n) for n in names])
         .groupBy(*MARGINS)
