@@ -10,6 +10,7 @@ from tidemark.llm.exact_dedup import drop_exact_duplicates
 from tidemark.llm.language_id import drop_unrecognised
 from tidemark.llm.simhash_dedup import drop_near_duplicates
 from tidemark.llm.source_mixing import mixed_sample
+from tidemark.sinks.storage import shared_dir
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +35,7 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample with raked weights of sources, languages and topics; adds topic, tokens, weight and probability."""
-    return mixed_sample(docs, words=True)
+    return mixed_sample(docs)
 
 
 STAGES = [
@@ -49,7 +50,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage. What the others keep is written below the shared folder and read back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = shared_dir(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
