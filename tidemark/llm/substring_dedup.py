@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import cut, join_counted, map_batches
+from tidemark.sinks.storage import shared_dir
 
 RUN = 2
 MAX_WORDS = 16
@@ -179,14 +180,16 @@ def substring_dedup(
         yield columns
 
     # Texts are cut and hashed once; all else reads what was kept of it.
-    occurrences = cut(map_batches(rows.select("doc", "key", "text"), hashed, "doc long, key long, pos int, h1 long, h2 long"))
+    # In Parquet the id and text hash of a document take no room beside its runs.
+    spark, path = docs.sparkSession, shared_dir(docs.sparkSession, "runs")
+    kind = "doc long, key long, pos int, h1 long, h2 long"
+    map_batches(rows.select("doc", "key", "text"), hashed, kind).write.parquet(path)
+    occurrences = spark.read.schema(kind).parquet(path)
     once = occurrences.where("h1 is not null")
     order = F.struct("doc", "key")
     repeated = cut(
-        once.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"))
-        .where("n > 1 and first < last")
-        .drop("last")
-    )
+        once.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
+    )
     later = join_counted(once, repeated, ["h1", "h2"], "n", F.xxhash64("doc", "key")).where(order > F.col("first"))
     starts = (
         later.select("doc", "key", "pos")
