@@ -1,11 +1,11 @@
 """Substring deduplication over sliding spans of sentences.
 
 Each text is cut into sentences and every run of at least ``RUN`` consecutive
-sentences, extended until it has ``MIN_WORDS`` words, is hashed (128 bits). One
-aggregation over all runs finds, for each that occurs more than once, the
-document that keeps it: the first in the order of id and text, which keeps its
-first occurrence. A join, split for hot runs, tells every other document which
-of its runs are repeats; the sentences they cover are removed.
+sentences, extended until it has ``MIN_WORDS`` words, is hashed (96 bits). A
+task compares the runs of each batch of documents first and sends one occurrence
+of a run on. One window over all that were sent ranks the occurrences of each
+run by id and text: the first document keeps its first occurrence, all others
+are told that theirs are repeats, and the sentences they cover are removed.
 
 Sentences longer than ``MAX_WORDS`` are cut into pieces where the hash of two
 neighbouring words says so. The cuts of a passage are the same whatever stands
@@ -23,10 +23,9 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.common import cut, join_counted, map_batches
-from tidemark.sinks.storage import shared_dir
 
 RUN = 2
 MAX_WORDS = 16
@@ -146,20 +145,36 @@ def substring_dedup(
     )
 
     def hashed(batch):
-        doc, key, pos, digests, again = [], [], [], [], []
+        first: dict[bytes, tuple[int, int, int]] = {}
+        repeats: dict[tuple[int, int], set[int]] = {}
+        met = set()
         for d, own, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            seen: set[bytes] = set()
+            if (d, own) in met:
+                continue
+            met.add((d, own))
             for i, digest in runs(sentences(text, max_words), run, min_words):
-                pos.append(i)
-                digests.append(digest)
-                again.append(digest in seen)  # a repeat whatever other texts hold
-                seen.add(digest)
-            doc += [d] * (len(pos) - len(doc))
-            key += [own] * (len(pos) - len(key))
-        halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-        mask = np.array(again, dtype=bool)
-        h1, h2 = (pa.array(np.ascontiguousarray(halves[:, i]), mask=mask) for i in (0, 1))
-        yield {"doc": doc, "key": key, "pos": pos, "h1": h1, "h2": h2}
+                here = (d, own, i)
+                best = first.setdefault(digest, here)
+                if best is here:
+                    continue
+                if here < best:  # a repeat whatever other texts hold
+                    first[digest], here = here, best
+                repeats.setdefault(here[:2], set()).add(here[2])
+        digests = np.frombuffer(b"".join(first), dtype="<i8").reshape(-1, 2)
+        doc, key, pos = zip(*first.values()) if first else ((), (), ())
+        yield {
+            "h1": pa.array(np.ascontiguousarray(digests[:, 0])),
+            "h2": pa.array(digests[:, 1].astype("<i4")),
+            "doc": doc,
+            "key": key,
+            "pos": pos,
+            "known": [None] * len(doc),
+        }
+        if repeats:
+            doc, key = zip(*repeats)
+            n = len(doc)
+            known = [sorted(v) for v in repeats.values()]
+            yield {"h1": key, "h2": [None] * n, "doc": doc, "key": key, "pos": [None] * n, "known": known}
 
     def cleaned(batch):
         columns = {n: [] for n in ("doc_id", "n_sentences", "n_removed", "removed", "text")}
@@ -179,21 +194,14 @@ def substring_dedup(
             columns["text"].append(left)
         yield columns
 
-    # Texts are cut and hashed once; all else reads what was kept of it.
-    # In Parquet the id and text hash of a document take no room beside its runs.
-    spark, path = docs.sparkSession, shared_dir(docs.sparkSession, "runs")
-    kind = "doc long, key long, pos int, h1 long, h2 long"
-    map_batches(rows.select("doc", "key", "text"), hashed, kind).write.parquet(path)
-    occurrences = spark.read.schema(kind).parquet(path)
-    once = occurrences.where("h1 is not null")
-    order = F.struct("doc", "key")
-    repeated = cut(
-        once.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
-    )
-    later = join_counted(once, repeated, ["h1", "h2"], "n", F.xxhash64("doc", "key")).where(order > F.col("first"))
+    # Texts are cut and hashed once, runs are shuffled once. A batch sends one row of a run at most, so even a
+    # run of all documents has few rows; what a batch knows to be a repeat goes with them as one list a document.
+    kind = "h1 long, h2 int, doc long, key long, pos int, known array<int>"
+    found = map_batches(rows.select("doc", "key", "text"), hashed, kind)
+    place = F.rank().over(Window.partitionBy("h1", "h2").orderBy("doc", "key"))
+    later = found.withColumn("place", place).where("place > 1 or known is not null")
     starts = (
-        later.select("doc", "key", "pos")
-        .unionAll(occurrences.where("h1 is null").select("doc", "key", "pos"))
+        later.select("doc", "key", F.explode(F.coalesce("known", F.array("pos"))).alias("pos"))
         .groupBy("doc", "key")
         .agg(F.collect_set("pos").alias("repeats"))
     )
