@@ -235,6 +235,14 @@ LAST_WRITE = f"""WITH o AS ({OLD}), n AS ({NEW})
   SELECT * FROM o UNION ALL SELECT * FROM n WHERE user_id NOT IN (SELECT user_id FROM o)"""
 NEWEST = LATEST.format(where="true")
 
+# Rows of the third run whose day ended two days or more before the latest event of the runs before are late.
+STATEFUL = f"""WITH dealt AS (SELECT *, ts >= TIMESTAMP '2024-01-28' OR event_id % 3 = 0 AS last_run FROM events),
+  closed AS (SELECT max(ts) - INTERVAL 2 DAY AS upto FROM dealt WHERE NOT last_run)
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
+  FROM dealt WHERE NOT last_run OR date_trunc('day', ts) + INTERVAL 1 DAY > (SELECT upto FROM closed)
+) WHERE rn = 1"""
+
 EVENT_LANDING = """SELECT event_id AS id, user_id AS "user", event_type AS kind, value, props, epoch_us(ts) AS updated_at
   FROM events"""
 
@@ -338,6 +346,7 @@ def oracle_sql() -> dict[str, str]:
         "keyed_table_last_write": LAST_WRITE,
         "keyed_table_newest": NEWEST,
         "stream_upsert": NEWEST,
+        "stream_upsert_stateful": STATEFUL,
         "landing_json_roundtrip": EVENT_LANDING,
         "landing_bad_records": f"""SELECT id, "user", kind, value, updated_at, NULL::VARCHAR AS rest
   FROM ({EVENT_LANDING}) WHERE id % 50 <> 0

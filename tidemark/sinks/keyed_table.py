@@ -16,11 +16,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.dedup import latest_per_key, split_null_keys
 from tidemark.operators.upsert import MODES, upsert
-from tidemark.sinks.storage import matching, remove
+from tidemark.sinks.storage import matching, remove, size_of
 
 ORDER = "_batch"
 
@@ -73,14 +74,22 @@ class KeyedTable:
         if any(re.search(rf"/\d+-{re.escape(token)}/_SUCCESS$", p) for p in done):
             return
         number = max(begun, default=0) + 1
-        keyed, loose = split_null_keys(batch.select(*self.schema.names), self.ids)
+        keyed = batch.select(*self.schema.names)
+        message = f"batch {token}: rows with a NULL in the key {self.ids}"
         if self.rejects is not None:
+            keyed, loose = split_null_keys(keyed, self.ids)
             loose.write.mode("overwrite").parquet(f"{self.rejects.rstrip('/')}/{token}")
-        elif not loose.isEmpty():
-            raise ValueError(f"batch {token}: rows with a NULL in the key {self.ids}")
-        latest_per_key(keyed, self.ids, self.ts, self.tie).withColumn(ORDER, F.lit(number).cast("long")).write.parquet(
-            f"{self.path}/epoch-{epoch}/changes/{number}-{token}"
-        )
+        else:  # found while the batch is written: it is computed once
+            keyed = keyed.withColumns(
+                {c: F.coalesce(c, F.raise_error(F.lit(message)).cast(self.schema[c].dataType)) for c in self.ids}
+            )
+        latest = latest_per_key(keyed, self.ids, self.ts, self.tie).withColumn(ORDER, F.lit(number).cast("long"))
+        try:
+            latest.write.parquet(f"{self.path}/epoch-{epoch}/changes/{number}-{token}")
+        except PySparkException as error:
+            if message in str(error):
+                raise ValueError(message) from error
+            raise
 
     def read(self) -> DataFrame:
         """The current table."""
@@ -96,10 +105,14 @@ class KeyedTable:
         latest = latest_per_key(changes.parquet(*pending), self.ids, order).drop(ORDER)
         return upsert(base, latest, self.ids, self.mode, self.ts)
 
-    def compact(self) -> None:
-        """Fold all applied batches into the base of a new epoch."""
+    def compact(self, above: float = 0.0) -> None:
+        """Fold all applied batches into the base of a new epoch, if they hold over ``above`` times the base's bytes."""
         epoch = self._epoch()
-        if epoch is not None and self._pending(epoch):
+        pending = [] if epoch is None else self._pending(epoch)
+        if not pending:
+            return
+        base = size_of(self.spark, f"{self.path}/epoch-{epoch}/base")
+        if not above or sum(size_of(self.spark, p) for p in pending) > above * base:
             self.read().write.mode("overwrite").parquet(f"{self.path}/epoch-{epoch + 1}/base")
 
     def vacuum(self) -> None:

@@ -30,6 +30,12 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in fs.globStatus(target) or []]
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    fs, target = _fs(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     fs.delete(target, True)

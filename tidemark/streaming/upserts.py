@@ -10,6 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.sinks.keyed_table import KeyedTable
 from tidemark.sources.landing import landing_options
 
+# Changes are folded into the base once they hold over this share of its bytes: folding writes all of it.
+FOLD_ABOVE = 0.25
+
 
 def stream_landing(
     spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "json", **options: str
@@ -40,19 +43,24 @@ def checkpoint_for(landing: str, name: str) -> str:
     return f"{landing.rstrip('/')}_{name}_checkpoint"
 
 
-def upsert_stream(stream: DataFrame, table: KeyedTable, checkpoint: str, compact: bool = True) -> StreamingQuery:
-    """Upsert the stream's batches into ``table``, then fold them into its base.
+def upsert_stream(
+    stream: DataFrame, table: KeyedTable, checkpoint: str, compact: bool = True, above: float = FOLD_ABOVE
+) -> StreamingQuery:
+    """Upsert the stream's batches into ``table``, then fold them into its base once they outgrow ``above`` times it.
 
     A batch replayed after a failure carries the same query id and batch number,
     hence the same token, and overwrites its first attempt.
     """
     table.ensure()
+    query = run_available(stream, applier(table), checkpoint)
+    if compact:
+        table.compact(above)
+    return query
 
+
+def applier(table: KeyedTable) -> Callable[[DataFrame, int], None]:
     def on_batch(batch: DataFrame, number: int) -> None:
         query_id = table.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         table.apply(batch, f"{query_id}.{number}")
 
-    query = run_available(stream, on_batch, checkpoint)
-    if compact:
-        table.compact()
-    return query
+    return on_batch
