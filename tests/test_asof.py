@@ -146,6 +146,21 @@ def test_slices_only_where_a_group_is_hot(spark, monkeypatch):
     assert sorted(map(tuple, hot.collect())) == sorted(map(tuple, asof_join(left, right, "id", "ts", "ref", 60 * minute, slice_bits=0).collect()))
 
 
+@pytest.mark.parametrize("max_age", [None, dt.timedelta(minutes=1)])
+def test_no_group_stands_out_among_many(spark, monkeypatch, max_age):
+    """The sketch then lists no group; one that holds a larger share than a slice is still found among as many."""
+    from tidemark.operators import asof
+
+    monkeypatch.setattr(asof, "HOT_ROWS", 100)
+    left = spark.range(30_000).selectExpr("id AS n", "id", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, id % 60) AS ts")
+    right = spark.range(30_000).selectExpr("id", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, id % 50) AS ref", "id AS v")
+    quiet = asof_join(left, right, "id", "ts", "ref", max_age)
+    assert "percentile_approx" not in _plan(quiet)
+    assert sorted(tuple(r) for r in quiet.select("n", "v").collect()) == [(n, n if n % 60 >= n % 50 else None) for n in range(30_000)]
+    hot = left.withColumn("id", F.expr("if(id % 200 = 0, -1, id)"))
+    assert "percentile_approx" in _plan(asof_join(hot, right, "id", "ts", "ref", max_age))
+
+
 def test_features_out_of_reach_are_left_out_before_the_sort(spark):
     from tidemark.operators import asof
 

@@ -115,8 +115,10 @@ def _has_hot_group(both: DataFrame, group: Sequence[str]) -> bool:
     rows = both.count()
     if rows <= HOT_ROWS:
         return False
-    top = both.select(F.xxhash64(*group).alias("key")).agg(F.expr(f"approx_top_k(key, 1, {_SKETCH_ITEMS})[0].count AS n"))
-    return top.first().n > max(HOT_ROWS, rows >> SLICE_BITS)
+    # It lists no group at all where the largest is too small to stand out, far below the share that counts as hot.
+    top = F.get(F.expr(f"approx_top_k(key, 1, {_SKETCH_ITEMS})"), F.lit(0))["count"]
+    largest = both.select(F.xxhash64(*group).alias("key")).agg(F.coalesce(top, F.lit(0)).alias("n")).first().n
+    return largest > max(HOT_ROWS, rows >> SLICE_BITS)
 
 
 def asof_join(
