@@ -217,3 +217,21 @@ def test_shared_dir_follows_the_session():
     assert shared_dir(on_cluster, "x") != shared_dir(on_cluster, "x")
     assert on_cluster.set_to == "hdfs:///shared/"
     assert "tidemark-" in shared_dir(_Session(), "x")
+
+
+@pytest.mark.parametrize("mode", ["last_write", "newest"])
+def test_the_first_batch_is_read_as_it_was_written(spark, tmp_path, rows, mode):
+    """Its rows are unique already and nothing is there to merge them with: no shuffle. Later ones merge as before."""
+    table = KeyedTable(spark, str(tmp_path / "t"), "id long, ts long, v string", ["id"], "ts", mode)
+    table.ensure()
+    batch = lambda *found: spark.createDataFrame(list(found), table.schema)
+    table.apply(batch((1, 5, "a"), (1, 7, "b"), (2, None, "c"), (2, 1, "d")), "one")
+    assert "Exchange" not in table.read()._jdf.queryExecution().executedPlan().toString()
+    assert rows(table.read()) == [(1, 7, "b"), (2, 1, "d")]
+    table.apply(batch((1, 6, "e"), (3, 1, "f")), "two")
+    kept = (1, 6, "e") if mode == "last_write" else (1, 7, "b")
+    assert rows(table.read()) == [kept, (2, 1, "d"), (3, 1, "f")]
+    table.compact()
+    table.apply(batch((2, 0, "g"), (3, 2, "h")), "three")
+    second = (2, 0, "g") if mode == "last_write" else (2, 1, "d")
+    assert rows(table.read()) == [kept, second, (3, 2, "h")]

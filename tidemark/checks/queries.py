@@ -394,7 +394,7 @@ def _chain(spark: SparkSession, sf_dir: str) -> DataFrame:
         older = rows.where("id % 6 = 3").withColumn("updated_at", F.col("updated_at") - 1)
         older = older.withColumn("created_at", F.lit(0).cast("long"))
         for part in (rows.where("id % 2 = 0").unionByName(older, allowMissingColumns=True), rows.where("id % 2 = 1")):
-            part.write.mode("append").json(landing)
+            part.write.mode("append").json(landing, compression="gzip")
             table = ingest_stream(spark, landing, f"{home}/bronze/{endpoint}", endpoint, how=how)
         bronze[endpoint] = table.read()
     spec = cat.feature_sets(OWN)["company_general_05_years"]

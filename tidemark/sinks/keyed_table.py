@@ -101,9 +101,12 @@ class KeyedTable:
         if not pending:
             return base
         changes = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(ORDER, T.LongType())]))
-        order = [ORDER] if self.mode == "last_write" else [self.ts, ORDER]
-        latest = latest_per_key(changes.parquet(*pending), self.ids, order).drop(ORDER)
-        return upsert(base, latest, self.ids, self.mode, self.ts)
+        latest = changes.parquet(*pending)
+        if len(pending) > 1:  # a batch holds each key once already
+            order = [ORDER] if self.mode == "last_write" else [self.ts, ORDER]
+            latest = latest_per_key(latest, self.ids, order)
+        latest = latest.drop(ORDER)
+        return latest if base.isEmpty() else upsert(base, latest, self.ids, self.mode, self.ts)
 
     def compact(self, above: float = 0.0) -> None:
         """Fold all applied batches into the base of a new epoch, if they hold over ``above`` times the base's bytes."""
