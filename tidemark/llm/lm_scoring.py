@@ -5,9 +5,9 @@ of a hash of the word, its class. Each is predicted from contexts over words: no
 but the bits before it, the word before, and the two words before. Contexts are
 hashed to slots that count zeros and ones over all training texts; the
 predictions are mixed in the logistic domain with weights that a gate selects
-(the bit's place and how often the contexts were seen), learned online bit by
-bit, and the mixed probability is refined adaptively by counts of what followed
-each level of it. So the order of the words decides how many bits a text takes.
+(the bit's place and how often the contexts were seen), and the mixed
+probability is refined adaptively by counts of what followed each level of it.
+So the order of the words decides how many bits a text takes.
 
 Within its class a known word takes the bits of its share of the class. A word
 never seen gets the share of tokens that new words are expected to have (that of
@@ -18,9 +18,14 @@ counted once, as new words resemble rare ones more than frequent ones.
 
 Counts cover all training texts. Each task counts in tables of fixed size, which
 are summed in a tree of groups of bounded size; the driver holds the sums. Mixing
-weights and refinements are learned there, from at most ``SAMPLE`` tokens and
-words in expectation, with their own occurrence taken out, then frozen: a score
-does not depend on which documents share a task.
+weights and refinements are learned from all tokens and all distinct words, with
+their own occurrence taken out, then frozen: a score does not depend on which
+documents share a task. For the classes, each bit of each token falls in a cell
+of its place, the bits before it, the predictions of its contexts (rounded to
+``LOGITS``) and how often these were seen; whole counts of the cells are summed,
+and the driver finds the weights under which all of them are likeliest. Words are
+dealt by their hash, so the parts depend on the words only; each part learns the
+speller's weights online bit by bit, and their means count each part by its bits.
 
 Documents meet the facts about their words by a join; words so frequent that
 under ``FREQUENT`` of them can exist are broadcast instead, which takes most
@@ -29,18 +34,19 @@ tokens out of the shuffle and leaves no hot key in it.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from math import ceil, log10
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import cut, map_batches, words_of
+from tidemark.llm.common import cut, map_batches
 from tidemark.sinks.storage import remove, shared_dir
 
 # Slots of the contexts of one, two, three and four bytes and of the whole prefix, as powers of two.
@@ -55,8 +61,12 @@ CLASS_ORDERS = len(CLASS_SLOT_BITS)
 _CLASS_FIRST = np.cumsum([0, *(1 << b for b in CLASS_SLOT_BITS)])
 CLASS_SLOTS = int(_CLASS_FIRST[-1])
 CLASS_GATES = CLASS_BITS * 16
-# Weights are learned from so many tokens and words, in expectation.
-SAMPLE = 200_000
+# Predictions as they are counted for learning: exact about even bits, coarse where all but certain.
+_HALF = np.concatenate([np.arange(1, 17) * 0.25, 4 + np.arange(1, 16) * 0.75])
+LOGITS = np.concatenate([-_HALF[::-1], [0.0], _HALF])
+# Cells of a bit: 64 nodes, 64 rounded predictions and 4 levels of having been seen for both contexts, two sides.
+CELLS = 1 << (CLASS_BITS + 8 + 8 + 1)
+_ROUNDS = 25
 # A task that counts slots takes about so many distinct words.
 TASK_WORDS = 400_000
 GATES = 32
@@ -70,8 +80,14 @@ _CHUNK = 1 << 16
 _FAN = 32
 # Bytes of words handled at once, and between two corrections of the weights.
 _PIECE, _STEP = 1 << 16, 1 << 12
+# Bytes of text and tokens handled at once.
+_RUN, _FEW = 1 << 21, 1 << 15
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STRIDE = np.uint64(0xD6E8FEB86659FD93)
+_SALTS = np.arange(256, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+_INVERSE = np.uint64(pow(int(_STRIDE), -1, 1 << 64))
+_KEPT = (np.zeros(0, dtype=np.uint64),) * 2
+_IS_GAP = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _START, _BEFORE = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _END = b""
 
@@ -108,9 +124,9 @@ def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def slots_of(contexts: np.ndarray, byte: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The slots of bit ``k`` (0 the highest) in every context, and the bit."""
-    node = (byte.astype(np.uint64) >> np.uint64(8 - k)) | np.uint64(1 << k)
-    x = (contexts ^ (node * np.uint64(0xC2B2AE3D27D4EB4F))[None, :]) * _MIX
-    slots = (x >> (np.uint64(64) - np.array(SLOT_BITS, dtype=np.uint64))[:, None]).astype(np.int64)
+    x = (contexts ^ _SALTS[(byte >> np.uint8(8 - k) if k else 0) | np.uint8(1 << k)]) * _MIX
+    x >>= np.uint64(64) - np.array(SLOT_BITS, dtype=np.uint64)[:, None]
+    slots = x.view(np.int64)
     slots += _FIRST[:-1, None]
     return slots, (byte >> np.uint8(7 - k)) & np.uint8(1)
 
@@ -144,36 +160,111 @@ class Mixer:
     def __init__(self, gates: int = GATES, orders: int = ORDERS) -> None:
         self.weights = np.full((gates, orders + 1), 0.3)
         self.refined = np.zeros((gates, LEVELS, 2))
+        # Bits each gate has learned from.
+        self.learned = np.zeros(gates)
 
     def mix(self, x: np.ndarray, gate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(mixed probability of a one, its level)."""
-        dot = np.einsum("ij,ji->i", self.weights[gate], x)
+        dot = np.zeros(len(gate))
+        for i, some in enumerate(x):
+            dot += self.weights[:, i][gate] * some
         return _squash(dot), np.rint(np.clip(dot, -8, 8) * 2).astype(np.int64) + LEVELS // 2
 
-    def learn(self, x: np.ndarray, gate: np.ndarray, bit: np.ndarray, weight: np.ndarray) -> None:
-        """One online step over bits of the same place: predict, count, then correct the weights."""
-        p, level = self.mix(x, gate)
+    def count(self, p: np.ndarray, level: np.ndarray, gate: np.ndarray, bit: np.ndarray, weight: np.ndarray) -> None:
+        """Count what followed each level of the mixed prediction."""
         gates = len(self.weights)
         at = gate * LEVELS + level
         self.refined[..., 0] += np.bincount(at, weight, gates * LEVELS).reshape(gates, LEVELS)
         self.refined[..., 1] += np.bincount(at, weight * bit, gates * LEVELS).reshape(gates, LEVELS)
+
+    def learn(self, x: np.ndarray, gate: np.ndarray, bit: np.ndarray, weight: np.ndarray) -> None:
+        """One online step over bits of the same place: predict, count, then correct the weights."""
+        p, level = self.mix(x, gate)
+        self.count(p, level, gate, bit, weight)
+        gates = len(self.weights)
         miss = (bit - p) * weight
-        norm = np.bincount(gate, weight, gates) + 1e-9
+        seen = np.bincount(gate, weight, gates)
+        self.learned += seen
         for i in range(self.weights.shape[1]):
-            self.weights[:, i] += RATE * np.bincount(gate, miss * x[i], gates) / norm
+            self.weights[:, i] += RATE * np.bincount(gate, miss * x[i], gates) / (seen + 1e-9)
+
+    def fit(self, x: np.ndarray, gate: np.ndarray, bit: np.ndarray, weight: np.ndarray) -> None:
+        """The weights under which all bits are likeliest, by Newton's method with halved steps, then the counts.
+
+        A gate's weights are held by one bit's worth of a pull to where they start.
+        """
+        gates, n = self.weights.shape
+        start = self.weights.copy()
+
+        def loss(at: np.ndarray) -> np.ndarray:
+            dot = np.einsum("ij,ji->i", at[gate], x)
+            return np.bincount(gate, weight * np.logaddexp(0, np.where(bit == 1, -dot, dot)), gates) + ((at - start) ** 2).sum(1) / 2
+
+        best = loss(self.weights)
+        for _ in range(_ROUNDS):
+            p = _squash(np.einsum("ij,ji->i", self.weights[gate], x))
+            miss, bend = weight * (bit - p), weight * p * (1 - p)
+            slope = np.stack([np.bincount(gate, miss * x[i], gates) for i in range(n)], axis=1) - (self.weights - start)
+            curve = np.empty((gates, n, n))
+            for i in range(n):
+                for j in range(i + 1):
+                    curve[:, i, j] = curve[:, j, i] = np.bincount(gate, bend * x[i] * x[j], gates)
+            step = np.linalg.solve(curve + np.eye(n), slope[..., None])[..., 0]
+            moved = False
+            for _ in range(6):
+                tried = self.weights + step
+                found = loss(tried)
+                better = found < best
+                self.weights[better], moved = tried[better], moved or bool((best - found > 1e-9 * best).any())
+                step = np.where(better[:, None], 0, step / 2)
+                best = np.minimum(best, found)
+                if not step.any():
+                    break
+            if not moved:
+                break
+        p, level = self.mix(x, gate)
+        self.count(p, level, gate, bit, weight)
+        self.learned += np.bincount(gate, weight, gates)
 
     def refine(self, p: np.ndarray, gate: np.ndarray, level: np.ndarray) -> np.ndarray:
         n, ones = self.refined[gate, level, 0], self.refined[gate, level, 1]
         return np.clip((p + (ones + 16 * p) / (n + 16)) / 2, 1e-7, 1 - 1e-7)
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of ``_STRIDE`` and of its inverse, modulo 2^64."""
+    global _KEPT
+    if n > len(_KEPT[0]):
+        size = max(n, 1 << 22)
+        up, down = (np.cumprod(np.full(size, f, dtype=np.uint64), dtype=np.uint64) for f in (_STRIDE, _INVERSE))
+        if size > 1 << 22:
+            return up, down
+        _KEPT = up, down
+    return _KEPT
+
+
+def hashes_of(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of all words at once: bytes weighed by powers of an odd number, mixed."""
+    _, bounds, data = words.cast(pa.binary()).buffers()
+    bounds = np.frombuffer(bounds, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    flat = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data else np.zeros(0, dtype=np.uint8)
+    bounds -= bounds[0]
+    up, down = _powers(len(flat) + 1)
+    total = np.zeros(len(flat) + 1, dtype=np.uint64)
+    np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * up[: len(flat)], out=total[1:])
+    # The weights start anew at each word.
+    found = (total[bounds[1:]] - total[bounds[:-1]]) * down[bounds[:-1]] + _BEFORE
+    for shift in (32, 29):
+        found ^= found >> np.uint64(shift)
+        found *= _MIX
+    return found ^ (found >> np.uint64(32))
+
+
 class Hashes(dict):
-    """64-bit hashes of words, kept for the next time they occur."""
+    """The hash of a word by itself."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 20:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
+        found = self[word] = int(hashes_of(pa.array([word], pa.binary()))[0])
         return found
 
 
@@ -181,18 +272,56 @@ def class_of(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - CLASS_BITS)).astype(np.int64)
 
 
-def token_hashes(texts: list[bytes | None], known: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, hash, hash of the token before, of the one before that) of every token, ends included."""
-    words = [[*words_of(t), _END] for t in texts]
-    sizes = np.array([len(w) for w in words], dtype=np.int64)
-    own = np.fromiter((known[w] for some in words for w in some), dtype=np.uint64, count=int(sizes.sum()))
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    place = np.arange(len(own)) - (np.cumsum(sizes) - sizes)[owner]
+def tokens_of(texts: list[bytes | None]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(tokens of all texts, lowered, with an empty one for each end; the text of each; where each text's tokens start)."""
+    joined = b"".join([b"\n", *(part for t in texts for part in ((t or b"").lower(), b"\n"))])
+    flat = np.frombuffer(joined, dtype=np.uint8)
+    gap = _IS_GAP[flat]
+    starts, ends = np.flatnonzero(gap[:-1] & ~gap[1:]) + 1, np.flatnonzero(~gap[:-1] & gap[1:]) + 1
+    closed = np.cumsum(np.fromiter((len(t or b"") + 1 for t in texts), dtype=np.int64, count=len(texts)))
+    # Words of the texts so far; with each text comes an end.
+    upto = np.searchsorted(starts, closed) + np.arange(1, len(texts) + 1)
+    sizes = np.diff(upto, prepend=0)
+    lengths = np.zeros(len(starts) + len(texts), dtype=np.int32)
+    words = np.ones(len(lengths), dtype=bool)
+    words[upto - 1] = False
+    lengths[words] = ends - starts
+    bounds = np.zeros(len(lengths) + 1, dtype=np.int32)
+    np.cumsum(lengths, out=bounds[1:])
+    tokens = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(bounds), pa.py_buffer(flat[~gap])])
+    return tokens, np.repeat(np.arange(len(texts)), sizes), upto - sizes
+
+
+def runs(batch: pa.RecordBatch, text: int, size: int = _RUN) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``size`` bytes of text."""
+    total = np.cumsum(np.nan_to_num(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)).astype(np.int64) + 1)
+    start = 0
+    while start < batch.num_rows:
+        end = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + size)))
+        yield batch.slice(start, end - start)
+        start = end
+
+
+def token_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, hash of the token before, of the one before that) of every token, ends included."""
+    tokens, _, firsts = tokens_of(texts)
+    own = hashes_of(tokens)
+    return own, *before(own, firsts)
+
+
+def few(*columns: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """So many tokens at a time that what is made of them stays close to the processor."""
+    for start in range(0, len(columns[0]), _FEW):
+        yield tuple(c[start : start + _FEW] for c in columns)
+
+
+def before(own: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the token before each and of the one before that; texts start at ``firsts``."""
     one, two = np.roll(own, 1), np.roll(own, 2)
-    one[place == 0] = _START
-    two[place == 0] = _BEFORE
-    two[place == 1] = _START
-    return owner, own, one, two
+    # A text of one token has the next text's first after it, which is set after it.
+    two[firsts[firsts + 1 < len(own)] + 1] = _START
+    one[firsts], two[firsts] = _START, _BEFORE
+    return one, two
 
 
 def class_contexts(one: np.ndarray, two: np.ndarray) -> list[np.ndarray]:
@@ -203,11 +332,15 @@ def class_contexts(one: np.ndarray, two: np.ndarray) -> list[np.ndarray]:
 def class_slots(contexts: list[np.ndarray], code: np.ndarray, k: int) -> tuple[list[np.ndarray], np.ndarray]:
     """The slots of bit ``k`` of the class in every context, and the bit."""
     node = (code >> (CLASS_BITS - k)) | (1 << k)
-    salt = node.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    salt = _SALTS[node]
     slots = [node]
     for order, context in enumerate(contexts, 1):
-        x = (context ^ salt) * _MIX
-        slots.append((x >> np.uint64(64 - CLASS_SLOT_BITS[order])).astype(np.int64) + _CLASS_FIRST[order])
+        x = context ^ salt
+        x *= _MIX
+        x >>= np.uint64(64 - CLASS_SLOT_BITS[order])
+        at = x.view(np.int64)
+        at += _CLASS_FIRST[order]
+        slots.append(at)
     return slots, (code >> (CLASS_BITS - 1 - k)) & 1
 
 
@@ -224,17 +357,41 @@ def _confidence(seen: np.ndarray) -> np.ndarray:
     return np.searchsorted([1.0, 4.0, 32.0], seen, side="right")
 
 
+def with_confidence(logit: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Logits in 32 bits, the last two of which say how often the slot was seen: one look-up finds both."""
+    return (logit.astype(np.float32).view(np.uint32) & np.uint32(0xFFFFFFFC)) | _confidence(seen).astype(np.uint32)
+
+
+def taken_apart(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (found & np.uint32(0xFFFFFFFC)).view(np.float32), (found & np.uint32(3)).view(np.int32)
+
+
 class Predictions:
-    """What scoring needs of the class counts: each slot's prediction as a logit, and how often it was seen."""
+    """What scoring needs of the class counts: each slot's prediction as a logit in half precision, and how often it was seen."""
 
     def __init__(self, tables: np.ndarray) -> None:
         slots = tables.shape[1]
-        self.logit, self.seen = np.empty(slots, dtype=np.float16), np.empty(slots, dtype=np.uint8)
+        self.slots = np.empty(slots, dtype=np.uint32)
         # Piece by piece, as the driver has little room beside the tables.
         for at in range(0, slots, _CHUNK):
             zeros, ones = tables[:, at : at + _CHUNK].astype(np.float32)
-            self.logit[at : at + _CHUNK] = np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4)))
-            self.seen[at : at + _CHUNK] = _confidence(zeros + ones)
+            logit = np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4))).astype(np.float16)
+            self.slots[at : at + _CHUNK] = with_confidence(logit, zeros + ones)
+
+
+def without_own(tables: np.ndarray) -> np.ndarray:
+    """By slot and bit: the prediction without one such bit, as its place in ``LOGITS`` and how often the slot was seen."""
+    slots = tables.shape[1]
+    codes = np.empty((slots, 2), dtype=np.uint8)
+    between = (LOGITS[1:] + LOGITS[:-1]) / 2
+    for at in range(0, slots, _CHUNK):
+        for bit in (0, 1):
+            zeros, ones = tables[:, at : at + _CHUNK].astype(np.float64)
+            own = (zeros, ones)[bit]
+            np.maximum(own - 1, 0, out=own)
+            level = np.searchsorted(between, np.log((ones + 0.4) / (zeros + 0.4)))
+            codes[at : at + _CHUNK, bit] = level * 4 + _confidence(zeros + ones)
+    return codes.reshape(-1)
 
 
 def class_scores(owner: np.ndarray, own: np.ndarray, one: np.ndarray, two: np.ndarray, texts: int, model: Predictions, mixer: Mixer) -> np.ndarray:
@@ -242,67 +399,89 @@ def class_scores(owner: np.ndarray, own: np.ndarray, one: np.ndarray, two: np.nd
     contexts, code = class_contexts(one, two), class_of(own)
     # A bit's refinement is linear in its mixed probability: slope and offset by gate and level.
     n, ones = mixer.refined[..., 0].ravel(), mixer.refined[..., 1].ravel()
-    slope, offset = 0.5 + 8 / (n + 16), ones / (2 * (n + 16))
-    weights = np.ascontiguousarray(mixer.weights.T)
+    slope, offset = (0.5 + 8 / (n + 16)).astype(np.float32), (ones / (2 * (n + 16))).astype(np.float32)
+    weights = np.ascontiguousarray(mixer.weights.T, dtype=np.float32)
+    # The bits before and the constant are the same for all tokens at a node, whatever their gate.
+    node_logit = taken_apart(model.slots[: 1 << CLASS_BITS])[0]
     product = np.ones(len(own))
     for k in range(CLASS_BITS):
         slots, bit = class_slots(contexts, code, k)
-        gate = model.seen[slots[1]].astype(np.int64) * 4 + model.seen[slots[2]] + k * 16
-        dot = weights[CLASS_ORDERS][gate] * 0.3
-        for order, at in enumerate(slots):
-            dot += weights[order][gate] * model.logit[at]
-        level = np.rint(np.clip(dot, -8, 8) * 2).astype(np.int64) + (gate * LEVELS + LEVELS // 2)
-        p = np.clip(_squash(dot) * slope[level] + offset[level], 1e-7, 1 - 1e-7)
-        product *= np.where(bit == 1, p, 1 - p)
+        (x1, seen1), (x2, seen2) = (taken_apart(model.slots[at]) for at in slots[1:])
+        gate = seen1 * 4 + seen2 + k * 16
+        dot = weights[0][gate] * node_logit[slots[0]]
+        dot += weights[1][gate] * x1
+        dot += weights[2][gate] * x2
+        dot += weights[3][gate] * np.float32(0.3)
+        level = np.rint(np.clip(dot, -8, 8) * 2).astype(np.int32) + (gate * LEVELS + LEVELS // 2)
+        p = _squash(dot) * slope[level] + offset[level]
+        product *= np.clip(np.where(bit == 1, p, 1 - p), 1e-7, 1 - 1e-7)
     return np.bincount(owner, np.log10(product), texts)
 
 
-def learn_classes(events: np.ndarray, tables: np.ndarray) -> Mixer:
-    """The mixer of the classes, from sampled tokens (rows: hash, hash before, hash before that)."""
+def count_cells(cells: np.ndarray, codes: np.ndarray, own: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
+    """Add the bits of tokens to their cells; ``codes`` are those of ``without_own``."""
+    contexts, code = class_contexts(one, two), class_of(own)
+    for k in range(CLASS_BITS):
+        (node, *slots), bit = class_slots(contexts, code, k)
+        cell = node
+        for at in slots:
+            at *= 2
+            at += bit
+            cell = cell << 8 | codes[at]
+        np.add.at(cells, cell << 1 | bit, np.uint32(1))
+
+
+def learn_classes(cells: np.ndarray, counts: np.ndarray, tables: np.ndarray) -> Mixer:
+    """The mixer of the classes, from how many bits of all training tokens are in each cell."""
+    bit, first, second, node = cells & 1, cells >> 9 & 255, cells >> 1 & 255, cells >> 17
+    zeros, ones = (np.maximum(side[node].astype(np.float64) - (bit == own), 0) for own, side in enumerate(tables))
+    x = np.stack([np.log((ones + 0.4) / (zeros + 0.4)), LOGITS[first >> 2], LOGITS[second >> 2], np.full(len(cells), 0.3)])
     mixer = Mixer(CLASS_GATES, CLASS_ORDERS)
-    for start in range(0, events.shape[1], _STEP):
-        own, one, two = events[:, start : start + _STEP]
-        contexts, code = class_contexts(one, two), class_of(own)
-        x = np.empty((CLASS_ORDERS + 1, len(own)))
-        x[CLASS_ORDERS] = 0.3
-        for k in range(CLASS_BITS):
-            slots, bit = class_slots(contexts, code, k)
-            seen = []
-            for order, at in enumerate(slots):
-                # The token's own occurrence must not predict itself.
-                zeros = np.maximum(tables[0][at].astype(np.float64) - (bit == 0), 0)
-                ones = np.maximum(tables[1][at].astype(np.float64) - (bit == 1), 0)
-                x[order] = np.log((ones + 0.4) / (zeros + 0.4))
-                seen.append(_confidence(zeros + ones))
-            mixer.learn(x, k * 16 + seen[1] * 4 + seen[2], bit, np.ones(len(own)))
+    place = np.floor(np.log2(np.maximum(node, 1))).astype(np.int64)
+    mixer.fit(x, place * 16 + (first & 3) * 4 + (second & 3), bit, counts.astype(np.float64))
     return mixer
 
 
 def count_slots(batches: Iterator[tuple[list[bytes], np.ndarray]]) -> np.ndarray:
     """Counts of zeros and ones in every slot, as rows 0 and 1."""
-    counts = np.zeros((2, SLOTS))
+    counts = np.zeros((2, SLOTS), dtype=np.uint32)
+    flat = counts.reshape(-1)
     for words, weight in batches:
         owner, byte, contexts = spelled(words)
-        each = weight[owner]
+        each = weight[owner].astype(np.uint32)
         for k in range(8):
             slots, bit = slots_of(contexts, byte, k)
-            for side in (0, 1):
-                pick = bit == side
-                np.add.at(counts[side], slots[:, pick].ravel(), np.tile(each[pick], ORDERS))
+            for at in slots:
+                np.add.at(flat, at + bit.astype(np.int64) * SLOTS, each)
     return counts
 
 
-def learn_mixer(batches: Iterator[tuple[list[bytes], np.ndarray]], counts: np.ndarray) -> Mixer:
+def spelling_without_own(counts: np.ndarray) -> np.ndarray:
+    """By slot and bit: the prediction without one such bit as a logit, and how often the slot was seen."""
+    found = np.empty((counts.shape[1], 2), dtype=np.uint32)
+    for at in range(0, counts.shape[1], _CHUNK):
+        for bit in (0, 1):
+            zeros, ones = counts[:, at : at + _CHUNK].astype(np.float64)
+            own = (zeros, ones)[bit]
+            np.maximum(own - 1, 0, out=own)
+            found[at : at + _CHUNK, bit] = with_confidence(np.log((ones + 0.2) / (zeros + 0.2)), zeros + ones)
+    return found.reshape(-1)
+
+
+def learn_mixer(batches: Iterator[tuple[list[bytes], np.ndarray]], predictions: np.ndarray) -> Mixer:
+    """A mixer taught by the words; ``predictions`` are those of ``spelling_without_own``."""
     mixer = Mixer()
     for words, weight in batches:
         owner, byte, contexts = spelled(words)
         each = weight[owner]
+        x = np.full((ORDERS + 1, len(byte)), 0.3)
         for k in range(8):
             slots, bit = slots_of(contexts, byte, k)
+            slots *= 2
+            slots += bit
             # The word's own occurrence must not predict itself.
-            zeros = np.maximum(counts[0][slots] - (bit == 0), 0)
-            ones = np.maximum(counts[1][slots] - (bit == 1), 0)
-            mixer.learn(*_inputs(zeros, ones, k), bit, each)
+            x[:ORDERS], seen = taken_apart(predictions[slots])
+            mixer.learn(x, k * 4 + seen[-1].astype(np.int64), bit, each)
     return mixer
 
 
@@ -333,16 +512,12 @@ def vocabulary(docs: DataFrame) -> DataFrame:
     """(word, n): all distinct tokens of (doc_id, out, text), with how often they occur in training; the end is empty."""
 
     def count(batch):
-        seen: Counter = Counter()
-        for out, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            words = words_of(text)
-            if out:
-                seen.update(dict.fromkeys(words, 0))
-                seen[_END] += 0
-            else:
-                seen.update(words)
-                seen[_END] += 1
-        yield {"word": list(seen), "n": list(seen.values())}
+        for run in runs(batch, 2):
+            tokens, owner, _ = tokens_of(run.column(2).to_pylist())
+            found = tokens.dictionary_encode()
+            train = ~run.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            n = np.bincount(found.indices.to_numpy(), train[owner], len(found.dictionary))
+            yield {"word": found.dictionary, "n": pa.array(n.astype(np.int64))}
 
     return map_batches(docs, count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -412,31 +587,42 @@ def fit_speller(vocab: DataFrame) -> tuple[np.ndarray, Mixer]:
             yield _arrow([row])
 
     counts = _summed(dealt.mapInArrow(partial, _BLOB), parts, SLOTS)
-    one_in = max(1, count // SAMPLE)
-    drawn = seen.where(F.pmod(F.xxhash64("word"), F.lit(one_in)) == 0).select("word").collect()
-    words = sorted((bytes(r.word) for r in drawn), key=xxhash.xxh64_intdigest)
-    return counts, learn_mixer(pieces(words, [1] * len(words), _STEP), counts)
+    predictions = seen.sparkSession.sparkContext.broadcast(spelling_without_own(counts))
 
+    def taught(batches):
+        # All words of the part in an order of their own, so that it learns the same in whatever batches they come.
+        words = sorted(chain.from_iterable(b.column(0).to_pylist() for b in batches), key=xxhash.xxh64_intdigest)
+        found = learn_mixer(pieces(words, [1] * len(words), _STEP), predictions.value)
+        values = np.concatenate([found.learned, (found.weights * found.learned[:, None]).ravel(), found.refined.ravel()])
+        yield pa.RecordBatch.from_pydict({"at": pa.array(np.arange(len(values)), pa.int32()), "value": values})
 
-def fit_classes(slim: DataFrame, tokens: int) -> tuple[Predictions, Mixer]:
+    mixer = Mixer()
+    sums = np.zeros(mixer.learned.size + mixer.weights.size + mixer.refined.size)
+    for r in dealt.mapInArrow(taught, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect():
+        sums[r["at"]] = r.value
+    predictions.destroy()
+    mixer.learned, weights, refined = np.split(sums, np.cumsum([mixer.learned.size, mixer.weights.size]))
+    any_bit = mixer.learned > 0
+    mixer.weights[any_bit] = weights.reshape(mixer.weights.shape)[any_bit] / mixer.learned[any_bit, None]
+    mixer.refined = refined.reshape(mixer.refined.shape)
+    return counts, mixer
+
+
+def fit_classes(slim: DataFrame) -> tuple[Predictions, Mixer]:
     """What the contexts over words predict, from the training rows of (doc_id, out, text)."""
-    one_in = np.uint64(max(1, tokens // SAMPLE))
-    train = slim.where("NOT out").select("doc_id", "text")
+    train = slim.where("NOT out").select("text")
 
-    def partial(batches):
-        tables, known, drawn = np.zeros((2, CLASS_SLOTS), dtype=np.uint32), Hashes(), []
+    def tokens(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                part = batch.slice(start, 64)
-                owner, own, one, two = token_hashes(part.column(1).to_pylist(), known)
-                count_classes(tables, own, one, two)
-                # By document, place and token: repeats of a text are not drawn as one.
-                ids = np.array([(i or 0) & 0xFFFFFFFF for i in part.column(0).to_pylist()], dtype=np.uint64)
-                mark = ((ids[owner] * _STRIDE) ^ (np.arange(len(own), dtype=np.uint64) * _MIX) ^ own) * _MIX
-                drawn.append(np.stack([own, one, two])[:, (mark >> np.uint64(20)) % one_in == 0])
+            for run in runs(batch, 0):
+                yield from few(*token_hashes(run.column(0).to_pylist()))
+
+    def partial(batches):
+        tables = np.zeros((2, CLASS_SLOTS), dtype=np.uint32)
+        for some in tokens(batches):
+            count_classes(tables, *some)
         here = TaskContext.get().partitionId()
-        events = np.concatenate(drawn, axis=1) if drawn else np.zeros((3, 0), dtype=np.uint64)
-        yield _arrow([{"chunk": -1, "part": here, "counts": events.astype("<u8").tobytes()}])
+        yield _arrow([{"chunk": -1, "part": here, "counts": b""}])
         for row in _blobs(tables, here):
             yield _arrow([row])
 
@@ -444,12 +630,23 @@ def fit_classes(slim: DataFrame, tokens: int) -> tuple[Predictions, Mixer]:
     train.mapInArrow(partial, _BLOB).write.parquet(path)
     counted = spark.read.parquet(path)
     tables = _summed(counted.where("chunk >= 0"), max(1, counted.where("chunk < 0").count()), CLASS_SLOTS)
-    samples = [np.frombuffer(r.counts, "<u8").reshape(3, -1) for r in counted.where("chunk < 0").orderBy("part").collect()]
     remove(spark, path)
-    events = np.concatenate(samples, axis=1) if samples else np.zeros((3, 0), dtype=np.uint64)
-    # In an order that does not follow the documents.
-    order = np.argsort(((events[0] ^ (events[1] * _STRIDE) ^ (events[2] * _MIX)) * _MIX).astype(np.uint64), kind="stable")
-    return Predictions(tables), learn_classes(events[:, order], tables)
+    codes = spark.sparkContext.broadcast(without_own(tables))
+
+    def in_cells(batches):
+        cells = np.zeros(CELLS, dtype=np.uint32)
+        for some in tokens(batches):
+            count_cells(cells, codes.value, *some)
+        at = np.flatnonzero(cells)
+        for start in range(0, len(at), _CHUNK):
+            some = at[start : start + _CHUNK]
+            yield pa.RecordBatch.from_pydict({"cell": pa.array(some, pa.int32()), "n": pa.array(cells[some], pa.int64())})
+
+    # No more rows than cells, however large the input.
+    found = train.mapInArrow(in_cells, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow().sort_by("cell")
+    codes.destroy()
+    cells, counts = (found.column(c).to_numpy().astype(np.int64) for c in ("cell", "n"))
+    return Predictions(tables), learn_classes(cells, counts, tables)
 
 
 def lm_scoring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -482,7 +679,7 @@ def lm_scoring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     below = log10(tokens + BASE_ALPHA * (distinct + 1))
 
     def by_class(batch):
-        code = class_of(np.array([xxhash.xxh64_intdigest(w) for w in batch.column(0).to_pylist()], dtype=np.uint64))
+        code = class_of(hashes_of(batch.column(0)))
         sums = np.bincount(code, batch.column(1).to_numpy(), 1 << CLASS_BITS)
         yield {"code": np.arange(1 << CLASS_BITS), "n": sums.astype(np.int64)}
 
@@ -491,7 +688,7 @@ def lm_scoring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         in_class[r.code] = r.n
 
     def known_share(batch):
-        code = class_of(np.array([xxhash.xxh64_intdigest(w) for w in batch.column(0).to_pylist()], dtype=np.uint64))
+        code = class_of(hashes_of(batch.column(0)))
         share = batch.column(1).to_numpy() / in_class[code]
         yield {"word": batch.column(0), "n": batch.column(1), "lm": pa.array(np.log10((1 - spell) * share))}
 
@@ -509,43 +706,48 @@ def lm_scoring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lexicon = map_batches(vocab.where("n > 0"), known_share, kind).unionByName(new)
     limit = tokens // FREQUENT
     often = lexicon.where((F.col("n") > limit) | (F.col("word") == F.lit(bytearray(_END))))
-    classes = spark.sparkContext.broadcast(fit_classes(slim, tokens))
-    frequent = spark.sparkContext.broadcast(
-        {bytes(r.word): (1 if r.n else 0, log10(r.n + BASE_ALPHA) - below, r.lm) for r in often.toLocalIterator()}
-    )
+    classes = spark.sparkContext.broadcast(fit_classes(slim))
+    often = [(bytes(r.word), r.n, r.lm) for r in often.toLocalIterator()]
+    in_train = np.array([n for _, n, _ in often], dtype=np.float64)
+    # After them a row of zeros, for all other words.
+    table = np.zeros((3, len(often) + 1))
+    table[:, :-1] = in_train > 0, np.log10(in_train + BASE_ALPHA) - below, [lm for *_, lm in often]
+    frequent = spark.sparkContext.broadcast((pa.array([w for w, *_ in often], pa.binary()), table))
 
     facts = ("out", "n_tokens", "n_known", "base", "lm", "bytes")
-
-    hashes = Hashes()
+    of_facts = pa.struct(zip(facts, (pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())))
 
     def looked_up(batch):
-        known, (model, mixer) = frequent.value, classes.value
-        out = {n: [] for n in ("doc_id", "key", "word", "tf", "facts")}
-
-        def add(*row):
-            for column, value in zip(out.values(), row):
-                column.append(value)
-
-        docs, outs, texts = (batch.column(i).to_pylist() for i in range(3))
-        ordered: list[float] = []
-        for start in range(0, len(texts), 64):
-            some = texts[start : start + 64]
-            ordered += class_scores(*token_hashes(some, hashes), len(some), model, mixer).tolist()
-        for doc, held, text, lm in zip(docs, outs, texts, ordered):
-            key = xxhash.xxh64_intdigest(text or b"") - (1 << 63)
-            n_known, base, seen = 0, 0.0, Counter(words_of(text))
-            seen[_END] += 1
-            for word, tf in seen.items():
-                if (found := known.get(word)) is None:
-                    add(doc, key, word, tf, None)
-                else:
-                    n_known += tf * found[0]
-                    base += tf * found[1]
-                    lm += tf * found[2]
+        (model, mixer), (words, table) = classes.value, frequent.value
+        for run in runs(batch, 2):
+            docs, outs, texts = run.column(0), run.column(1), run.column(2).to_pylist()
+            n = len(texts)
+            tokens, owner, firsts = tokens_of(texts)
+            found = tokens.dictionary_encode()
+            number, distinct = found.indices.to_numpy(), len(found.dictionary)
+            place = pc.index_in(found.dictionary, value_set=words).fill_null(-1).to_numpy()
+            known, base, lm = (np.bincount(owner, column[place][number], n) for column in table)
+            own = hashes_of(found.dictionary)[number]
+            for some in few(owner, own, *before(own, firsts)):
+                lm += class_scores(*some, n, model, mixer)
+            # A text's rare words, each once with how often it occurs, meet their facts in the join.
+            rare = np.flatnonzero((place < 0)[number])
+            pairs, tf = np.unique(owner[rare] * distinct + number[rare], return_counts=True)
+            at, word = np.divmod(pairs, max(distinct, 1))
+            keys = [xxhash.xxh64_intdigest(t or b"") - (1 << 63) for t in texts]
             # The document's own row meets no word: words hold no space.
-            own = (held, sum(seen.values()), n_known, base, lm, len(text or b""))
-            add(doc, key, b" %d %d" % (doc or 0, key), 0, dict(zip(facts, own)))
-        yield out
+            owns = pa.array([b" %d %d" % (doc or 0, key) for doc, key in zip(docs.to_pylist(), keys)], pa.binary())
+            sizes = np.array([len(t or b"") for t in texts], dtype=np.int64)
+            columns = outs, np.bincount(owner, minlength=n), known.astype(np.int64), base, lm, sizes
+            own_facts = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, of_facts)], fields=list(of_facts))
+            both = np.concatenate([at, np.arange(n)])
+            yield {
+                "doc_id": docs.take(pa.array(both)),
+                "key": pa.array(np.array(keys, dtype=np.int64)[both]),
+                "word": pa.concat_arrays([found.dictionary.take(pa.array(word)), owns]),
+                "tf": pa.array(np.concatenate([tf, np.zeros(n, dtype=np.int64)]), pa.int32()),
+                "facts": pa.concat_arrays([pa.nulls(len(at), of_facts), own_facts]),
+            }
 
     rows = map_batches(
         slim,
