@@ -166,3 +166,88 @@ def test_scores_equal_a_scorer_token_by_token(spark, monkeypatch):
     held = [(d, t) for d, t in texts if _out(d) and _out(1000 + d)] or texts
     assert np.mean([again[d] - again[1000 + d] for d, _ in held]) > 3
     assert got[500].score != got[501].score
+
+
+def _learned(monkeypatch):
+    """The mixers of the words' bytes and of the classes, as they are learned."""
+    found = {}
+    for name in ("fit_speller", "fit_classes"):
+        fit = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, name=name, fit=fit: found.setdefault(name, fit(*a)))
+    return found
+
+
+def test_weights_are_learned_from_all_tokens_and_words(spark, monkeypatch):
+    rows = [(d, " ".join(f"{d * 510 + i:x}" for i in range(510)), "en", "s") for d in range(1000)]
+    found = _learned(monkeypatch)
+    got = lm_scoring(edges.documents(spark, rows)).collect()
+    train = [t.split() for d, t, *_ in rows if not _out(d)]
+    tokens = sum(len(t) + 1 for t in train)
+    # Over twice as many as a draw of 200,000 would leave whole, and more words than one part teaches.
+    assert tokens > 400_000 and sum(map(len, train)) > module.TASK_WORDS
+    assert len(got) == len(rows) and {r.train_tokens for r in got} == {tokens}
+    assert found["fit_classes"][1].refined[..., 0].sum() == tokens * module.CLASS_BITS
+    spelt = sum(len(w) + 1 for t in train for w in t) + 1  # and the end
+    assert found["fit_speller"][1].refined[..., 0].sum() == spelt * 8
+
+
+def test_scores_do_not_depend_on_tasks_nor_parts(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(d, " ".join(f"w{int(x)}" for x in rng.zipf(1.3, 80) % 3000), "en", "s") for d in range(200)]
+    monkeypatch.setattr(module, "TASK_WORDS", 300)
+    frame = edges.documents(spark, rows)
+    one, many = ({r.doc_id: r.score for r in lm_scoring(frame.repartition(n)).collect()} for n in (1, 7))
+    assert one.keys() == many.keys() and all(abs(one[d] - many[d]) < 1e-6 for d in one)
+
+
+def test_cells_hold_each_bit_without_its_own_count():
+    rng = np.random.default_rng(9)
+    own, one, two = rng.integers(0, 1 << 63, 40, dtype=np.uint64)[rng.integers(0, 40, (3, 500))]
+    tables = np.zeros((2, module.CLASS_SLOTS), dtype=np.uint32)
+    module.count_classes(tables, own, one, two)
+    cells = np.zeros(module.CELLS, dtype=np.uint32)
+    module.count_cells(cells, module.without_own(tables), own, one, two)
+    want = Counter()
+    for k in range(module.CLASS_BITS):
+        slots, bit = module.class_slots(module.class_contexts(one, two), module.class_of(own), k)
+        for node, first, second, b in zip(*slots, bit):
+            codes = []
+            for at in (first, second):
+                z, o = (int(side[at]) - int(b == own) for own, side in enumerate(tables))
+                near = int(np.argmin(abs(module.LOGITS - np.log((o + 0.4) / (z + 0.4)))))
+                codes.append(near * 4 + int(np.searchsorted([1, 4, 32], z + o, side="right")))
+            want[int(((node << 8 | codes[0]) << 8 | codes[1]) << 1 | b)] += 1
+    assert {int(c): int(cells[c]) for c in np.flatnonzero(cells)} == want
+
+
+def test_fitted_weights_are_the_likeliest():
+    rng = np.random.default_rng(10)
+    x = np.stack([rng.normal(0, 2, 4000), rng.normal(0, 1, 4000), np.full(4000, 0.3)])
+    gate = rng.integers(0, 2, 4000)
+    truth = np.array([[0.9, 0.1, 0.5], [0.2, 0.8, -0.5]])
+    bit = (rng.random(4000) < 1 / (1 + np.exp(-np.einsum("ij,ji->i", truth[gate], x)))).astype(np.int64)
+    weight = rng.integers(1, 5, 4000).astype(float)
+    mixer = Mixer(3, 2)
+    mixer.fit(x, gate, bit, weight)
+    p = 1 / (1 + np.exp(-np.einsum("ij,ji->i", mixer.weights[gate], x)))
+    for g in (0, 1):
+        slope = (x * weight * (bit - p))[:, gate == g].sum(1) - (mixer.weights[g] - 0.3)
+        assert abs(slope).max() < 1e-2 and abs(mixer.weights[g] - truth[g]).max() < 0.5
+    assert (mixer.weights[2] == 0.3).all() and mixer.refined[..., 0].sum() == weight.sum()
+
+
+def test_tokens_and_hashes_are_those_of_single_words():
+    texts = ["a  b", None, "", " \t\r\n\x0b\x0c", "É A\x1fb\x85  ", "x" * 3000, "b a\n"]
+    want = [(i, w) for i, t in enumerate(texts) for w in [*brute.words(t), b""]]
+    texts = [t.encode() if t is not None else None for t in texts]
+    tokens, owner, firsts = module.tokens_of(texts)
+    assert list(zip(owner.tolist(), tokens.to_pylist())) == want
+    assert [want[f][0] for f in firsts] == list(range(len(texts))) and firsts[0] == 0
+    alone = module.Hashes()
+    own, one, two = module.token_hashes(texts)
+    assert own.tolist() == [alone[w] for _, w in want] and len(set(own.tolist())) == len({w for _, w in want})
+    for at, (i, _) in enumerate(want):
+        before = [alone[w] for j, w in want[:at] if j == i]
+        assert one[at] == (before[-1] if before else module._START)
+        assert two[at] == (before[-2] if len(before) > 1 else module._START if before else module._BEFORE)
+    assert np.array_equal(module.hashes_of(tokens.slice(3, 9)), own[3:12])

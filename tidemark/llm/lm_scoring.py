@@ -47,7 +47,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import cut, map_batches
-from tidemark.sinks.storage import remove, shared_dir
 
 # Slots of the contexts of one, two, three and four bytes and of the whole prefix, as powers of two.
 SLOT_BITS = (16, 18, 20, 20, 22)
@@ -81,7 +80,7 @@ _FAN = 32
 # Bytes of words handled at once, and between two corrections of the weights.
 _PIECE, _STEP = 1 << 16, 1 << 12
 # Bytes of text and tokens handled at once.
-_RUN, _FEW = 1 << 21, 1 << 15
+_RUN, _FEW = 1 << 20, 1 << 15
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STRIDE = np.uint64(0xD6E8FEB86659FD93)
 _SALTS = np.arange(256, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -235,11 +234,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of ``_STRIDE`` and of its inverse, modulo 2^64."""
     global _KEPT
     if n > len(_KEPT[0]):
-        size = max(n, 1 << 22)
-        up, down = (np.cumprod(np.full(size, f, dtype=np.uint64), dtype=np.uint64) for f in (_STRIDE, _INVERSE))
-        if size > 1 << 22:
-            return up, down
-        _KEPT = up, down
+        powers = tuple(np.cumprod(np.r_[np.uint64(1), np.full(max(n, _RUN), f, dtype=np.uint64)], dtype=np.uint64) for f in (_STRIDE, _INVERSE))
+        if n > _RUN:
+            return powers
+        _KEPT = powers
     return _KEPT
 
 
@@ -251,7 +249,11 @@ def hashes_of(words: pa.Array) -> np.ndarray:
     bounds -= bounds[0]
     up, down = _powers(len(flat) + 1)
     total = np.zeros(len(flat) + 1, dtype=np.uint64)
-    np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * up[: len(flat)], out=total[1:])
+    each = total[1:]
+    each[:] = flat
+    each += np.uint64(1)
+    each *= up[: len(flat)]
+    np.cumsum(each, out=each)
     # The weights start anew at each word.
     found = (total[bounds[1:]] - total[bounds[:-1]]) * down[bounds[:-1]] + _BEFORE
     for shift in (32, 29):
@@ -347,10 +349,17 @@ def class_slots(contexts: list[np.ndarray], code: np.ndarray, k: int) -> tuple[l
 def count_classes(tables: np.ndarray, own: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
     """Add the bits of tokens to ``tables`` (rows: zeros, ones)."""
     contexts, code, flat = class_contexts(one, two), class_of(own), tables.reshape(-1)
+    codes = np.arange(1 << CLASS_BITS)
+    in_code = np.bincount(code, minlength=len(codes)).astype(np.uint32)
     for k in range(CLASS_BITS):
-        slots, bit = class_slots(contexts, code, k)
+        # Without context there are few slots: one addition for all tokens of a class.
+        (node, *_), side = class_slots([], codes, k)
+        np.add.at(flat, node + side * CLASS_SLOTS, in_code)
+        (_, *slots), bit = class_slots(contexts, code, k)
+        bit *= CLASS_SLOTS
         for at in slots:
-            np.add.at(flat, at + bit * CLASS_SLOTS, np.uint32(1))
+            at += bit
+            np.add.at(flat, at, np.uint32(1))
 
 
 def _confidence(seen: np.ndarray) -> np.ndarray:
@@ -401,19 +410,25 @@ def class_scores(owner: np.ndarray, own: np.ndarray, one: np.ndarray, two: np.nd
     n, ones = mixer.refined[..., 0].ravel(), mixer.refined[..., 1].ravel()
     slope, offset = (0.5 + 8 / (n + 16)).astype(np.float32), (ones / (2 * (n + 16))).astype(np.float32)
     weights = np.ascontiguousarray(mixer.weights.T, dtype=np.float32)
-    # The bits before and the constant are the same for all tokens at a node, whatever their gate.
+    weights[CLASS_ORDERS] *= np.float32(0.3)
     node_logit = taken_apart(model.slots[: 1 << CLASS_BITS])[0]
     product = np.ones(len(own))
     for k in range(CLASS_BITS):
         slots, bit = class_slots(contexts, code, k)
         (x1, seen1), (x2, seen2) = (taken_apart(model.slots[at]) for at in slots[1:])
-        gate = seen1 * 4 + seen2 + k * 16
-        dot = weights[0][gate] * node_logit[slots[0]]
-        dot += weights[1][gate] * x1
-        dot += weights[2][gate] * x2
-        dot += weights[3][gate] * np.float32(0.3)
-        level = np.rint(np.clip(dot, -8, 8) * 2).astype(np.int32) + (gate * LEVELS + LEVELS // 2)
-        p = _squash(dot) * slope[level] + offset[level]
+        gate = (seen1 * 4 + seen2 + k * 16).astype(np.int64)
+        dot = weights[CLASS_ORDERS][gate]
+        for i, x in enumerate((node_logit[slots[0]], x1, x2)):
+            x *= weights[i][gate]
+            dot += x
+        level = np.clip(dot, -8, 8)
+        level += level
+        gate *= LEVELS
+        gate += LEVELS // 2
+        gate += np.rint(level, out=level).astype(np.int64)
+        p = _squash(dot)
+        p *= slope[gate]
+        p += offset[gate]
         product *= np.clip(np.where(bit == 1, p, 1 - p), 1e-7, 1 - 1e-7)
     return np.bincount(owner, np.log10(product), texts)
 
@@ -512,7 +527,7 @@ def vocabulary(docs: DataFrame) -> DataFrame:
     """(word, n): all distinct tokens of (doc_id, out, text), with how often they occur in training; the end is empty."""
 
     def count(batch):
-        for run in runs(batch, 2):
+        for run in runs(batch, 2, 4 * _RUN):
             tokens, owner, _ = tokens_of(run.column(2).to_pylist())
             found = tokens.dictionary_encode()
             train = ~run.column(1).to_numpy(zero_copy_only=False).astype(bool)
@@ -523,14 +538,16 @@ def vocabulary(docs: DataFrame) -> DataFrame:
 
 
 def packed(piece: np.ndarray) -> bytes:
-    """Counts (rows: zeros, ones) as bytes, with the few of 255 and more apart."""
+    """Counts (rows: zeros, ones) as compressed bytes, with the few of 255 and more apart; most are small or none."""
     flat = piece.reshape(-1)
     large = np.flatnonzero(flat >= 255).astype("<u4")
     small = np.minimum(flat, 255).astype(np.uint8)
-    return b"".join([len(large).to_bytes(4, "little"), large.tobytes(), flat[large].astype("<u4").tobytes(), small.tobytes()])
+    data = b"".join([len(large).to_bytes(4, "little"), large.tobytes(), flat[large].astype("<u4").tobytes(), small.tobytes()])
+    return len(data).to_bytes(4, "little") + pa.compress(data, "zstd", asbytes=True)
 
 
 def unpacked(data: bytes) -> np.ndarray:
+    data = pa.decompress(data[4:], int.from_bytes(data[:4], "little"), "zstd", asbytes=True)
     n = int.from_bytes(data[:4], "little")
     counts = np.frombuffer(data, np.uint8, offset=4 + 8 * n).astype(np.uint32)
     counts[np.frombuffer(data, "<u4", n, 4)] = np.frombuffer(data, "<u4", n, 4 + 4 * n)
@@ -621,17 +638,11 @@ def fit_classes(slim: DataFrame) -> tuple[Predictions, Mixer]:
         tables = np.zeros((2, CLASS_SLOTS), dtype=np.uint32)
         for some in tokens(batches):
             count_classes(tables, *some)
-        here = TaskContext.get().partitionId()
-        yield _arrow([{"chunk": -1, "part": here, "counts": b""}])
-        for row in _blobs(tables, here):
+        for row in _blobs(tables, TaskContext.get().partitionId()):
             yield _arrow([row])
 
-    spark, path = slim.sparkSession, shared_dir(slim.sparkSession, "classes")
-    train.mapInArrow(partial, _BLOB).write.parquet(path)
-    counted = spark.read.parquet(path)
-    tables = _summed(counted.where("chunk >= 0"), max(1, counted.where("chunk < 0").count()), CLASS_SLOTS)
-    remove(spark, path)
-    codes = spark.sparkContext.broadcast(without_own(tables))
+    tables = _summed(train.mapInArrow(partial, _BLOB), max(1, train.rdd.getNumPartitions()), CLASS_SLOTS)
+    codes = slim.sparkSession.sparkContext.broadcast(without_own(tables))
 
     def in_cells(batches):
         cells = np.zeros(CELLS, dtype=np.uint32)
