@@ -466,8 +466,9 @@ def count_slots(batches: Iterator[tuple[list[bytes], np.ndarray]]) -> np.ndarray
         each = weight[owner].astype(np.uint32)
         for k in range(8):
             slots, bit = slots_of(contexts, byte, k)
+            slots += bit.astype(np.int64) * SLOTS
             for at in slots:
-                np.add.at(flat, at + bit.astype(np.int64) * SLOTS, each)
+                np.add.at(flat, at, each)
     return counts
 
 
@@ -495,8 +496,9 @@ def learn_mixer(batches: Iterator[tuple[list[bytes], np.ndarray]], predictions:
             slots *= 2
             slots += bit
             # The word's own occurrence must not predict itself.
-            x[:ORDERS], seen = taken_apart(predictions[slots])
-            mixer.learn(x, k * 4 + seen[-1].astype(np.int64), bit, each)
+            found = predictions[slots]
+            x[:ORDERS] = (found & np.uint32(0xFFFFFFFC)).view(np.float32)
+            mixer.learn(x, k * 4 + (found[-1] & np.uint32(3)).astype(np.int64), bit, each)
     return mixer
 
 
@@ -752,19 +754,21 @@ def lm_scoring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             columns = outs, np.bincount(owner, minlength=n), known.astype(np.int64), base, lm, sizes
             own_facts = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, of_facts)], fields=list(of_facts))
             both = np.concatenate([at, np.arange(n)])
+            # Of one item for a text, null for a word, which so takes next to no room.
+            items = pa.array(np.concatenate([np.zeros(len(at), dtype=np.int64), np.arange(n + 1)]), pa.int32(), mask=np.arange(len(both) + 1) < len(at))
             yield {
                 "doc_id": docs.take(pa.array(both)),
                 "key": pa.array(np.array(keys, dtype=np.int64)[both]),
                 "word": pa.concat_arrays([found.dictionary.take(pa.array(word)), owns]),
                 "tf": pa.array(np.concatenate([tf, np.zeros(n, dtype=np.int64)]), pa.int32()),
-                "facts": pa.concat_arrays([pa.nulls(len(at), of_facts), own_facts]),
+                "facts": pa.ListArray.from_arrays(items, own_facts, type=pa.list_(pa.field("element", of_facts))),
             }
 
     rows = map_batches(
         slim,
         looked_up,
         "doc_id long, key long, word binary, tf int, "
-        "facts struct<out:boolean,n_tokens:long,n_known:long,base:double,lm:double,bytes:long>",
+        "facts array<struct<out:boolean,n_tokens:long,n_known:long,base:double,lm:double,bytes:long>>",
     )
     rare = lexicon.where((F.col("n") <= limit) & (F.col("word") != F.lit(bytearray(_END))))
     of_word = {
@@ -772,13 +776,14 @@ def lm_scoring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "base": F.col("tf") * (F.log10(F.col("n") + BASE_ALPHA) - below),
         "lm": F.col("tf") * F.col("lm"),
     }
-    met = rows.join(rare, "word", "left").select(
+    # A partition's words fit in memory, however often they occur; sorting the rows would cost more than the join.
+    met = rows.join(rare.hint("shuffle_hash"), "word", "left").select(
         "doc_id",
         "key",
-        F.col("facts.out").alias("out"),
+        F.get("facts", F.lit(0))["out"].alias("out"),
         F.col("facts").isNotNull().cast("int").alias("own"),
         *[
-            F.coalesce(F.col("facts")[c], of_word.get(c, F.lit(0)), F.lit(0)).alias(c)
+            F.coalesce(F.get("facts", F.lit(0))[c], of_word.get(c, F.lit(0)), F.lit(0)).alias(c)
             for c in facts[1:]
         ],
     )
